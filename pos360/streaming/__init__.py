@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The original work is batch-only (hand-run cleaning and mart scripts over
+stored tables); it has no streams, watermarks, windows over event time or
+state. No streaming operator is built, so none is invented here.
+"""

@@ -53,6 +53,22 @@ def year_range(df: DataFrame, name: str, year: int) -> Column:
     return (c >= lo_c) & (c < hi_c)
 
 
+def outside_year(df: DataFrame, name: str, year: int) -> Column:
+    """Rows to keep when deleting ``year(name) = year``: before or after the
+    year, or NULL. Spelled without ``coalesce`` so that the disjunction of
+    plain comparisons still reaches the Parquet scan."""
+    dtype = df.schema[name].dataType
+    if not isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        y = F.year(as_timestamp(df, name))
+        return y.isNull() | (y != F.lit(year))
+    lo, hi = dt.datetime(year, 1, 1), dt.datetime(year + 1, 1, 1)
+    lo_c, hi_c = F.lit(lo), F.lit(hi)
+    if isinstance(dtype, T.TimestampNTZType):
+        lo_c, hi_c = lo_c.cast("timestamp_ntz"), hi_c.cast("timestamp_ntz")
+    c = F.col(name)
+    return (c < lo_c) | (c >= hi_c) | c.isNull()
+
+
 def bill_date(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.to_date(c)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pos360.functions.columns import MONEY, year_range
+from pos360.functions.columns import MONEY, outside_year, year_range
 from pos360.operators.ranking import dedupe_keep_one
 from pos360.params import DEFAULT, RunParams
 
@@ -80,7 +80,7 @@ def audit_orders_in_year(orders: DataFrame, params: RunParams = DEFAULT) -> Data
 def clean_drop_year(orders: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """Delete lines billed in ``params.drop_year``; NULL or unparseable dates stay.
     Written as a half-open range so both bounds are pushed to the scan."""
-    return orders.where(_keep_unless(year_range(orders, "bill_date_timestamp", params.drop_year)))
+    return orders.where(outside_year(orders, "bill_date_timestamp", params.drop_year))
 
 
 # C04 ----------------------------------------------------------------------
@@ -117,13 +117,21 @@ def audit_review_averages(reviews: DataFrame, orders: DataFrame) -> DataFrame:
 
 def clean_reviews_one_per_order(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     """Reviews of known orders become one averaged row per order; reviews of
-    unknown orders (and with a NULL id) stay as they are."""
-    ids = _order_ids(orders)
-    averaged = (
-        reviews.join(ids, "order_id", "left_semi").groupBy("order_id").agg(F.avg("score").alias("score"))
+    unknown orders (and with a NULL id) stay as they are.
+
+    One aggregate instead of averaged-part UNION untouched-part: the reviews
+    of a known order share one group, every other review is a group of its
+    own (a row id only keeps them apart; the average of one score is the
+    score). A union of two hash-partitioned branches is avoided on purpose:
+    Spark 4.1 with AQE can mis-align its partitions in a later join."""
+    ids = _order_ids(orders).withColumn("__known", F.lit(True))
+    flagged = reviews.join(ids, "order_id", "left")
+    group = F.when(F.col("__known"), F.lit(None).cast("bigint")).otherwise(F.monotonically_increasing_id())
+    return (
+        flagged.groupBy("order_id", group.alias("__row"))
+        .agg(F.avg("score").alias("score"))
+        .select("order_id", "score")
     )
-    untouched = reviews.join(ids, "order_id", "left_anti").select("order_id", "score")
-    return averaged.unionByName(untouched)
 
 
 # C06 ----------------------------------------------------------------------

@@ -9,6 +9,7 @@ cast money (DECIMAL inside) to DOUBLE at the output edge.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,17 +22,26 @@ from pos360.plans.clean import clean_tables
 from pos360.plans.customer_mart import customer_behaviour, customer_level_360, customer_payment_summary
 from pos360.plans.order_mart import best_payment, order_level_360, order_level_enriched
 from pos360.plans.store_mart import store_level_360, store_top_customer, store_top_payment, store_top_product
+from pos360.session import write_and_read
 from pos360.sources.fixtures import Tables, fixture_tables
 
 
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, params: RunParams = DEFAULT,
-                 raw: Tables | None = None, marts: dict[str, DataFrame] | None = None):
+                 raw: Tables | None = None, marts: dict[str, DataFrame] | None = None,
+                 write_clean_orders: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.params = params
         self._raw = raw
         self._marts = marts or {}
+        # The customer and store marts read the cleaned order lines several
+        # times (the store mart four times): for them the lines are written
+        # once as a Parquet table in the shared checkpoint folder, as the
+        # original stores its cleaned tables, instead of re-running the
+        # cleaning shuffles in every branch. Single-pass consumers (the order
+        # mart) stay lazy unless the written table already exists.
+        self.write_clean_orders = write_clean_orders
 
     @cached_property
     def raw(self) -> Tables:
@@ -64,19 +74,30 @@ class Workspace:
 
     @cached_property
     def clean(self) -> Tables:
+        """Cleaned tables, lazy."""
         return clean_tables(self.raw, self.params)
 
+    @cached_property
+    def clean_written(self) -> Tables:
+        """Cleaned tables with the order lines written once (see __init__)."""
+        if not self.write_clean_orders:
+            return self.clean
+        return replace(self.clean, orders=write_and_read(self.clean.orders, "clean-orders"))
+
+    def _clean_for_single_pass(self) -> Tables:
+        return self.clean_written if "clean_written" in self.__dict__ else self.clean
+
     @cached_property
     def customer_mart(self) -> DataFrame:
-        return self._marts.get("customer") or customer_level_360(self.clean, self.params)
+        return self._marts.get("customer") or customer_level_360(self.clean_written, self.params)
 
     @cached_property
     def order_mart(self) -> DataFrame:
-        return self._marts.get("order") or order_level_enriched(self.clean, self.params)
+        return self._marts.get("order") or order_level_enriched(self._clean_for_single_pass(), self.params)
 
     @cached_property
     def store_mart(self) -> DataFrame:
-        return self._marts.get("store") or store_level_360(self.clean, self.params)
+        return self._marts.get("store") or store_level_360(self.clean_written, self.params)
 
     @cached_property
     def segments(self) -> DataFrame:
@@ -112,7 +133,7 @@ _REGISTRY: dict[str, Query] = {
     "clean_orders": lambda w: q.clean_orders(w.raw.orders, w.params),
     # T1-T3
     "customer_payment_summary": lambda w: customer_payment_summary(w.clean, w.params),
-    "customer_behaviour": lambda w: customer_behaviour(w.clean, w.params),
+    "customer_behaviour": lambda w: customer_behaviour(w.clean_written, w.params),
     "customer_level_360": lambda w: w.customer_mart,
     "top1_payment_per_order": lambda w: best_payment(w.clean.payments),
     "order_level_360": lambda w: order_level_360(w.clean, w.params),

@@ -62,22 +62,32 @@ def customer_behaviour(clean: Tables, params: RunParams = DEFAULT) -> DataFrame:
         monetary = F.sum("cost_per_unit")
         profit = F.sum((F.col("mrp") - F.col("cost_per_unit")) * F.col("quantity"))
     key = _customer_key(params)
-    out = lines.groupBy(key).agg(
+    if params.corrected:
+        # An id too long for BIGINT cannot be matched to a customer.
+        lines = lines.where(F.col("custid").isNotNull())
+    # Plain aggregates and distinct counts are two aggregates joined on the
+    # (non-NULL) key: Catalyst would otherwise expand every line once per
+    # distinct count *with* all plain-aggregate inputs; both sides come out
+    # hash-partitioned by the key, so the join adds no shuffle.
+    plain = lines.groupBy(key).agg(
         F.min(day).alias("first_transaction_date"),
         F.max(day).alias("last_transaction_date"),
-        F.count_distinct(day).alias("frequency"),
         monetary.alias("monetary"),
         profit.alias("profit"),
         F.sum("discount").alias("discount"),
         F.sum("quantity").alias("total_quantity"),
-        F.count_distinct("product_id").alias("distinct_items_purchased"),
-        F.count_distinct("category").alias("distinct_categories_purchased"),
         F.count_if(F.col("discount") > 0).alias("transactions_with_discount"),
         F.count_if(F.col("mrp") < F.col("cost_per_unit")).alias("transactions_with_loss"),
+    )
+    distinct = lines.groupBy(key).agg(
+        F.count_distinct(day).alias("frequency"),
+        F.count_distinct("product_id").alias("distinct_items_purchased"),
+        F.count_distinct("category").alias("distinct_categories_purchased"),
         F.count_distinct("channel").alias("channels_used"),
         F.count_distinct("delivered_store_id").alias("distinct_stores_purchased"),
         F.count_distinct("seller_city").alias("distinct_cities_purchased"),
     )
+    out = plain.join(distinct, key)
     if key == "customer_id":
         out = out.withColumn("custid", numeric_id("customer_id"))
     return out.withColumn("tenure", F.datediff("last_transaction_date", "first_transaction_date"))

@@ -79,24 +79,35 @@ def store_level_360(clean: Tables, params: RunParams = DEFAULT) -> DataFrame:
         .withColumn("__profit", profit)
     )
     day = F.to_date("bill_date_timestamp")
-    agg = lines.groupBy(
-        F.col("delivered_store_id").alias("store_id"), "seller_city", "seller_state", "region"
-    ).agg(
+    group = [F.col("delivered_store_id").alias("store_id"), "seller_city", "seller_state", "region"]
+    keys = ["store_id", "seller_city", "seller_state", "region"]
+    # Plain aggregates and distinct counts as two aggregates (see
+    # customer_behaviour); the store-grain join is NULL-safe because the
+    # location of an unknown store is NULL.
+    plain = lines.groupBy(*group).agg(
         F.count("order_id").alias("total_transactions"),
         F.sum("quantity").alias("total_quantity_sold"),
         F.sum("total_amount").alias("total_sales"),
         exact_avg("discount").alias("average_discount"),
         F.sum("__profit").alias("total_profit"),
-        F.count_distinct("customer_id").alias("distinct_customers_visited"),
-        F.count_distinct("product_id").alias("distinct_products_sold"),
-        F.count_distinct("category").alias("distinct_categories_sold"),
         F.count_if(F.col("discount") > 0).alias("transactions_with_discount"),
         F.count_if(F.col("__profit") < 0).alias("transactions_with_loss"),
         float_avg("score").alias("average_customer_satisfaction"),
-        F.count_distinct(day).alias("active_days"),
         F.max(day).alias("max_transaction_date"),
         F.min(day).alias("min_transaction_date"),
     )
+    distinct = lines.groupBy(*group).agg(
+        F.count_distinct("customer_id").alias("distinct_customers_visited"),
+        F.count_distinct("product_id").alias("distinct_products_sold"),
+        F.count_distinct("category").alias("distinct_categories_sold"),
+        F.count_distinct(day).alias("active_days"),
+    )
+    d = distinct.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in distinct.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = plain[k].eqNullSafe(d[f"__{k}"])
+        cond = c if cond is None else cond & c
+    agg = plain.join(d, cond).drop(*[f"__{k}" for k in keys])
     top_product = store_top_product(orders).select("store_id", F.col("product_id").alias("highest_selling_product"))
     top_customer = store_top_customer(orders).select("store_id", F.col("customer_id").alias("most_frequent_customer"))
     top_payment = store_top_payment(orders, clean.payments).select(

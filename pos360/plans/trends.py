@@ -135,12 +135,15 @@ def state_sales(om: DataFrame) -> DataFrame:
 def top10_expensive_products(om: DataFrame, params: RunParams = DEFAULT, k: int = 10) -> DataFrame:
     """Q31: the k (product, category) pairs with the highest unit cost (MRP
     in corrected mode, D20) and their share of all sales. The total is a
-    scalar subquery, not a window over all groups."""
+    scalar subquery (not a window over all groups, which would pull every
+    group into one task)."""
     price = "mrp" if params.corrected else "cost_per_unit"
-    total = om.agg(F.sum("total_amount")).scalar()
     per = om.groupBy("product_id", "product_category").agg(
         F.max(price).alias("max_price"), F.sum("total_amount").alias("total_sales")
     )
+    # The grand total from the grouped rows (exact decimal sums): the
+    # subquery shares the grouping's shuffle instead of re-reading the mart.
+    total = per.agg(F.sum("total_sales")).scalar()
     order = sort_columns([("max_price", False), ("product_id", True), ("product_category", True)])
     return (
         per.orderBy(*order).limit(k)

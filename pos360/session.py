@@ -4,6 +4,7 @@ through the cluster's shared checkpoint folder."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +54,18 @@ def checkpoint(df: DataFrame) -> DataFrame:
     (a lost executor then re-reads the files instead of recomputing)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a written table under the shared checkpoint folder."""
+    base = ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/pos360/{name}-{uuid.uuid4().hex}"
+
+
+def write_and_read(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it
+    back: the lineage is cut, and later reads get column pruning, filter
+    pushdown and file statistics (unlike an RDD checkpoint)."""
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

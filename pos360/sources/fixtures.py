@@ -148,3 +148,13 @@ def tables_from_paths(spark: SparkSession, paths: dict[str, str], fmt: str = "pa
     from pos360.sources.readers import read_table
 
     return Tables(**{name: read_table(spark, name, path, fmt) for name, path in paths.items()})
+
+
+def write_inputs(tables: Tables) -> Tables:
+    """The six input tables written once as Parquet (shared checkpoint
+    folder) and read back, so that every later job scans stored tables, as
+    it would in production, instead of re-deriving the views."""
+    from pos360.session import write_and_read
+
+    return Tables(**{name: write_and_read(getattr(tables, name), f"input-{name}")
+                     for name in ("orders", "customers", "products", "stores", "payments", "reviews")})

@@ -109,6 +109,7 @@ def exact_ntile(
     order: OrderSpec,
     out_col: str,
     *,
+    source: DataFrame | None = None,
     rows_per_bucket: int = 1_000_000,
     max_buckets: int = 512,
     sample_per_bucket: int = 20,
@@ -131,32 +132,40 @@ def exact_ntile(
 
     Cut points only steer balance, never the result. ``order`` should be a
     total order (end in a unique key); rows equal under ``order`` may swap
-    positions, as with NTILE itself. Actions: one count and one sample
-    collect; cache or checkpoint an expensive input first.
+    positions, as with NTILE itself.
+
+    ``source`` (default ``df``) is where n, the sample and the bucket counts
+    are taken from; it must hold the same rows and ordering columns as
+    ``df`` (e.g. a checkpointed base while ``df`` is that base with other
+    tiles already added), so chained NTILEs do not recompute each other.
+    Actions: one count and one sample collect on ``source``.
     """
     if tiles < 1:
         raise ValueError("tiles must be >= 1")
-    n = df.count()
+    src = df if source is None else source
+    n = src.count()
     if n == 0:
         return df.withColumn(out_col, F.lit(None).cast("int"))
-    key, key_type = _ascending_key(df, order)
+    key, key_type = _ascending_key(src, order)
     n_buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
-    if n_buckets == 1:
-        bucket = F.lit(0)
-    else:
+    cuts: list[Column] = []
+    if n_buckets > 1:
         fraction = min(1.0, sample_per_bucket * n_buckets / n)
-        sample = [r.k for r in df.select(key.alias("k")).sample(False, fraction, seed).orderBy("k").collect()]
+        sample = [r.k for r in src.select(key.alias("k")).sample(False, fraction, seed).orderBy("k").collect()]
         cut_rows = []
-        if sample:
-            for b in range(1, n_buckets):
-                c = sample[min(len(sample) - 1, (b * len(sample)) // n_buckets)]
-                if not cut_rows or c != cut_rows[-1]:
-                    cut_rows.append(c)
+        for b in range(1, n_buckets):
+            if not sample:
+                break
+            c = sample[min(len(sample) - 1, (b * len(sample)) // n_buckets)]
+            if not cut_rows or c != cut_rows[-1]:
+                cut_rows.append(c)
         cuts = [_struct_literal(c, key_type) for c in cut_rows]
-        bucket = _bucket_of(F.col("__k"), cuts, 0, len(cuts)) if cuts else F.lit(0)
 
-    keyed = df.withColumn("__k", key).withColumn("__b", bucket)
-    counts = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    def bucket_of(frame: DataFrame) -> Column:
+        k, _ = _ascending_key(frame, order)
+        return _bucket_of(k, cuts, 0, len(cuts)) if cuts else F.lit(0)
+
+    counts = src.select(bucket_of(src).alias("__b")).groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
     # At most max_buckets rows: a single-partition window is bounded here.
     offsets = counts.select(
         "__b",
@@ -164,6 +173,7 @@ def exact_ntile(
             F.sum("__cnt").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("__off"),
     )
+    keyed = df.withColumn("__k", _ascending_key(df, order)[0]).withColumn("__b", bucket_of(df))
     w = Window.partitionBy("__b").orderBy("__k")
     pos = F.col("__off") + F.row_number().over(w)
     return (

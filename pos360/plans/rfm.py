@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pos360.operators.ranking import builtin_ntile, exact_ntile
 from pos360.params import DEFAULT, RunParams
-from pos360.session import checkpoint
+from pos360.session import write_and_read
 
 # Total-score bands of the segments (for four tiles).
 SEGMENTS = (
@@ -47,18 +47,21 @@ def rfm_recency(cm: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
 def rfm_scores(cm: DataFrame, params: RunParams = DEFAULT, exact: bool = True, **ntile_opts) -> DataFrame:
     """F2: three NTILE scores and the concatenated segment code.
 
-    ``exact=True`` uses the distributed exact NTILE (the base is checkpointed
-    first: the ranking reads it several times); ``exact=False`` Spark's own
+    ``exact=True`` uses the distributed exact NTILE (the customer-grain base
+    is written once to the shared checkpoint folder first: the ranking reads
+    it several times); ``exact=False`` Spark's own
     single-partition window. Reference (D10): score = tile, so the best
     customers get 1. Corrected: score = tiles + 1 - tile."""
     k = params.rfm_tiles
     base = rfm_base(cm, params)
     if exact:
-        base = checkpoint(base)
+        base = write_and_read(base, "rfm-base")
         scored = base
         for order, col in ((RECENCY_ORDER, "recency_score"), (FREQUENCY_ORDER, "frequency_score"),
                            (MONETARY_ORDER, "monetary_score")):
-            scored = exact_ntile(scored, k, order, col, **ntile_opts)
+            # Counts, cut points and bucket sizes come from the written
+            # base, so the three rankings do not recompute one another.
+            scored = exact_ntile(scored, k, order, col, source=base, **ntile_opts)
     else:
         scored = base
         for order, col in ((RECENCY_ORDER, "recency_score"), (FREQUENCY_ORDER, "frequency_score"),

@@ -93,3 +93,13 @@ def test_exact_ntile_windows_per_bucket_not_single_partition(spark):
     w = Window.orderBy("id")
     builtin_plan = df.withColumn("x", F.ntile(4).over(w))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" in builtin_plan
+
+
+def test_rfm_scores_many_buckets_equal_builtin(spark):
+    from pos360.plans import rfm
+    from pos360.plans.catalog import Workspace
+
+    cm = Workspace(spark, "/root/testdata/sf0.001").customer_mart
+    exact = rfm.rfm_scores(cm, exact=True, rows_per_bucket=20, max_buckets=64, sample_per_bucket=4)
+    builtin = rfm.rfm_scores(cm, exact=False)
+    assert sorted(map(tuple, exact.collect())) == sorted(map(tuple, builtin.collect()))

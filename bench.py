@@ -31,7 +31,7 @@ sys.path.insert(0, ROOT)
 from pos360.functions.columns import money_to_double  # noqa: E402
 from pos360.plans import kpi, rfm, trends  # noqa: E402
 from pos360.plans.catalog import Workspace, run  # noqa: E402
-from pos360.session import local_session, write_and_read  # noqa: E402
+from pos360.session import drop_written_tables, local_session, write_and_read  # noqa: E402
 from pos360.sources.fixtures import fixture_tables, write_inputs  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -113,6 +113,7 @@ def main() -> None:
         "note": "value = sum of the headline queries on the written input tables; "
                 "median of runs after one warm-up; noop sink",
     }))
+    drop_written_tables(spark)
     spark.stop()
 
 

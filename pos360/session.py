@@ -69,3 +69,38 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_written_tables(spark: SparkSession) -> None:
+    """Delete the tables this application wrote with ``write_and_read`` (its
+    ``pos360/`` folder inside its own checkpoint directory), through the
+    Hadoop FileSystem API so it works on any shared file system."""
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir()
+    if not base:
+        return
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/pos360")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
+def cluster_conf(total_cores: int) -> dict[str, str]:
+    """Settings for a large cluster (e.g. 1000 executors over ~100 TB):
+    AQE picks the partition count at run time from an initially generous
+    one, splits skewed join partitions and converts joins to broadcast only
+    when runtime sizes are below the threshold."""
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(max(200, total_cores * 4)),
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -108,10 +108,15 @@ def audit_review_averages(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     """Mean score of every order that exists in ``orders``. Joining the
     line-grained table repeats each review equally often, which leaves the
     mean unchanged, so a semi-join gives the same rows (D05)."""
+    return average_known_reviews(reviews, orders).withColumnRenamed("score", "avg_satisfaction_score")
+
+
+def average_known_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
+    """One averaged review row per order that exists in ``orders``."""
     return (
         reviews.join(_order_ids(orders), "order_id", "left_semi")
         .groupBy("order_id")
-        .agg(F.avg("score").alias("avg_satisfaction_score"))
+        .agg(F.avg("score").alias("score"))
     )
 
 
@@ -119,19 +124,11 @@ def clean_reviews_one_per_order(reviews: DataFrame, orders: DataFrame) -> DataFr
     """Reviews of known orders become one averaged row per order; reviews of
     unknown orders (and with a NULL id) stay as they are.
 
-    One aggregate instead of averaged-part UNION untouched-part: the reviews
-    of a known order share one group, every other review is a group of its
-    own (a row id only keeps them apart; the average of one score is the
-    score). A union of two hash-partitioned branches is avoided on purpose:
-    Spark 4.1 with AQE can mis-align its partitions in a later join."""
-    ids = _order_ids(orders).withColumn("__known", F.lit(True))
-    flagged = reviews.join(ids, "order_id", "left")
-    group = F.when(F.col("__known"), F.lit(None).cast("bigint")).otherwise(F.monotonically_increasing_id())
-    return (
-        flagged.groupBy("order_id", group.alias("__row"))
-        .agg(F.avg("score").alias("score"))
-        .select("order_id", "score")
-    )
+    Only this standalone result carries the untouched reviews: they can never
+    join a cleaned order line (cleaned ids are a subset of the known ids), so
+    the marts read ``average_known_reviews`` alone (see ``plans.clean``)."""
+    untouched = reviews.join(_order_ids(orders), "order_id", "left_anti").select("order_id", "score")
+    return average_known_reviews(reviews, orders).unionByName(untouched)
 
 
 # C06 ----------------------------------------------------------------------

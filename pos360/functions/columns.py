@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,20 +35,23 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     return c.cast("timestamp")
 
 
+def _year_bounds(dtype: T.DataType, year: int) -> tuple[Column, Column]:
+    # String literals cast to the column's own type: for TIMESTAMP_NTZ the
+    # bounds are wall-clock values whatever the session or Python time zone;
+    # the casts fold to constants, so the comparisons reach the scan.
+    lo, hi = F.lit(f"{year:04d}-01-01 00:00:00"), F.lit(f"{year + 1:04d}-01-01 00:00:00")
+    return lo.cast(dtype), hi.cast(dtype)
+
+
 def year_range(df: DataFrame, name: str, year: int) -> Column:
     """``year(name) = year`` written as a half-open range so that the two
     bounds reach the Parquet scan as pushed filters."""
     dtype = df.schema[name].dataType
-    lo, hi = dt.datetime(year, 1, 1), dt.datetime(year + 1, 1, 1)
-    if isinstance(dtype, T.TimestampNTZType):
-        lo_c, hi_c = F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")
-        c = F.col(name)
-    elif isinstance(dtype, T.TimestampType):
-        lo_c, hi_c = F.lit(lo), F.lit(hi)
-        c = F.col(name)
-    else:
+    if not isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.year(as_timestamp(df, name)) == F.lit(year)
-    return (c >= lo_c) & (c < hi_c)
+    lo, hi = _year_bounds(dtype, year)
+    c = F.col(name)
+    return (c >= lo) & (c < hi)
 
 
 def outside_year(df: DataFrame, name: str, year: int) -> Column:
@@ -61,12 +62,9 @@ def outside_year(df: DataFrame, name: str, year: int) -> Column:
     if not isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         y = F.year(as_timestamp(df, name))
         return y.isNull() | (y != F.lit(year))
-    lo, hi = dt.datetime(year, 1, 1), dt.datetime(year + 1, 1, 1)
-    lo_c, hi_c = F.lit(lo), F.lit(hi)
-    if isinstance(dtype, T.TimestampNTZType):
-        lo_c, hi_c = lo_c.cast("timestamp_ntz"), hi_c.cast("timestamp_ntz")
+    lo, hi = _year_bounds(dtype, year)
     c = F.col(name)
-    return (c < lo_c) | (c >= hi_c) | c.isNull()
+    return (c < lo) | (c >= hi) | c.isNull()
 
 
 def bill_date(c: Column | str) -> Column:

@@ -107,3 +107,16 @@ def test_projection_is_pruned_at_scan(spark, tmp_path):
 
     plan = kpi.kpi_total_revenue(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<total_amount:double>" in plan
+
+
+def test_drop_year_independent_of_session_time_zone(spark, micro):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    kept = []
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            kept.append(sorted((r.order_id or "", r.line_no) for r in q.clean_drop_year(micro.orders).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert kept[0] == kept[1] == kept[2]
+    assert ("o8", 1) not in kept[0]

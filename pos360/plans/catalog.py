@@ -89,15 +89,21 @@ class Workspace:
 
     @cached_property
     def customer_mart(self) -> DataFrame:
-        return self._marts.get("customer") or customer_level_360(self.clean_written, self.params)
+        if "customer" in self._marts:
+            return self._marts["customer"]
+        return customer_level_360(self.clean_written, self.params)
 
     @cached_property
     def order_mart(self) -> DataFrame:
-        return self._marts.get("order") or order_level_enriched(self._clean_for_single_pass(), self.params)
+        if "order" in self._marts:
+            return self._marts["order"]
+        return order_level_enriched(self._clean_for_single_pass(), self.params)
 
     @cached_property
     def store_mart(self) -> DataFrame:
-        return self._marts.get("store") or store_level_360(self.clean_written, self.params)
+        if "store" in self._marts:
+            return self._marts["store"]
+        return store_level_360(self.clean_written, self.params)
 
     @cached_property
     def segments(self) -> DataFrame:

@@ -161,9 +161,14 @@ def exact_ntile(
                 cut_rows.append(c)
         cuts = [_struct_literal(c, key_type) for c in cut_rows]
 
+    if not cuts:
+        # One bucket (n <= rows_per_bucket): its offset is 0, no join needed.
+        w = Window.orderBy(_ascending_key(df, order)[0])
+        return df.withColumn(out_col, ntile_of_position(F.row_number().over(w), n, tiles))
+
     def bucket_of(frame: DataFrame) -> Column:
         k, _ = _ascending_key(frame, order)
-        return _bucket_of(k, cuts, 0, len(cuts)) if cuts else F.lit(0)
+        return _bucket_of(k, cuts, 0, len(cuts))
 
     counts = src.select(bucket_of(src).alias("__b")).groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
     # At most max_buckets rows: a single-partition window is bounded here.

@@ -24,12 +24,21 @@ def test_registry_and_oracle_keys_agree():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
 
+# Spark type -> DuckDB type of the same column.
+TYPES = {"StringType": "VARCHAR", "LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
+         "DateType": "DATE", "TimestampNTZType": "TIMESTAMP", "BooleanType": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
 def test_fixture_matches_oracle(spark, con, key):
     df = entry.queries()[key](spark, SF_DIR)
     sql = entry.oracle_sql()[key]
     r = compare(df, con, sql)
     assert r["ok"], (r, first_difference(df, con, sql))
+    duck_types = {row[0]: row[1] for row in con.execute("DESCRIBE " + sql).fetchall()}
+    for f in df.schema.fields:
+        spark_type = type(f.dataType).__name__
+        assert duck_types[f.name] == TYPES.get(spark_type, spark_type), (key, f.name)
 
 
 def test_entry_smoke(spark):

@@ -59,8 +59,9 @@ def store_top_payment(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def store_level_360(clean: Tables, params: RunParams = DEFAULT) -> DataFrame:
-    """One wide aggregate over the lines joined with store location,
-    product category and review, then the three per-store top-1 picks.
+    """The lines joined with store location, product category and
+    review, aggregated per store location (plain aggregates and distinct
+    counts as two aggregates), then the three per-store top-1 picks.
 
     The original groups by the picks too; they are one row per store, so
     joining them after the aggregate gives the same rows with a store-grain

@@ -16,6 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 # ratio (at most 12 month rows) and the exact NTILE (bucket offsets: at most
 # max_buckets rows; a single bucket only while n <= rows_per_bucket).
 BOUNDED_GLOBAL_WINDOWS = {"seasonality_index", "rfm_scores", "rfm_segments", "rfm_segment_counts",
+                          "rfm_segments_corrected",
                           "segment_performance"}
 
 

@@ -14,7 +14,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 OrderSpec = Sequence[tuple[str, bool]]
 
@@ -52,44 +51,6 @@ def dedupe_keep_one(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # Exact NTILE
 # --------------------------------------------------------------------------
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-
-
-def _ascending_key(df: DataFrame, order: OrderSpec) -> tuple[Column, T.StructType]:
-    """A struct whose natural ascending order equals ``order``.
-
-    Each item contributes a NULL flag (so NULL placement is explicit) and the
-    value, negated for descending numeric items.
-    """
-    fields, types = [], []
-    for i, (c, asc) in enumerate(order):
-        dtype = df.schema[c].dataType
-        if not asc and not isinstance(dtype, _NUMERIC):
-            raise NotImplementedError(f"descending order on non-numeric column {c!r}")
-        col = F.col(c)
-        if asc:
-            flag = col.isNotNull()  # false (NULL) sorts first
-            value = col
-        else:
-            flag = col.isNull()  # true (NULL) sorts last
-            value = -col
-        fields += [flag.alias(f"f{i}"), value.alias(f"v{i}")]
-        types += [T.StructField(f"f{i}", T.BooleanType(), False), T.StructField(f"v{i}", dtype, True)]
-    return F.struct(*fields), T.StructType(types)
-
-
-def _struct_literal(row, stype: T.StructType) -> Column:
-    return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in stype.fields])
-
-
-def _bucket_of(key: Column, cuts: list[Column], lo: int, hi: int) -> Column:
-    """Number of cut points strictly below ``key``, by binary search over the
-    sorted ``cuts[lo:hi]`` (an expression tree of depth log2(len(cuts)))."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key <= cuts[mid], _bucket_of(key, cuts, lo, mid)).otherwise(_bucket_of(key, cuts, mid + 1, hi))
-
 
 def ntile_of_position(pos: Column, n: int, tiles: int) -> Column:
     """NTILE(tiles) of the row at 1-based position ``pos`` among ``n`` rows:
@@ -109,82 +70,61 @@ def exact_ntile(
     order: OrderSpec,
     out_col: str,
     *,
-    source: DataFrame | None = None,
     rows_per_bucket: int = 1_000_000,
-    max_buckets: int = 512,
-    sample_per_bucket: int = 20,
-    seed: int = 7,
+    max_buckets: int = 8192,
 ) -> DataFrame:
     """``NTILE(tiles) OVER (ORDER BY order)`` without a single-partition window.
 
-    1. Count the rows (n) and draw a bounded sample of the ordering key
-       (about ``sample_per_bucket`` rows per bucket, at most
-       ``max_buckets * sample_per_bucket`` rows reach the driver).
-    2. Sample quantiles become the cut points of up to ``max_buckets`` ranges
-       of the *whole* key, tie-break included, so one heavily repeated value
-       is split over several buckets by its tie-break columns.
-    3. Every row's bucket is a pure function of its key (a binary-search
-       CASE tree over literal cut points), so recomputation after a lost
-       executor reproduces it exactly.
-    4. Rows per bucket (at most ``max_buckets`` rows) give each bucket's
-       offset; ``row_number`` inside the bucket plus the offset is the exact
-       global position, from which the tile follows.
-
-    Cut points only steer balance, never the result. ``order`` should be a
-    total order (end in a unique key); rows equal under ``order`` may swap
-    positions, as with NTILE itself.
-
-    ``source`` (default ``df``) is where n, the sample and the bucket counts
-    are taken from; it must hold the same rows and ordering columns as
-    ``df`` (e.g. a checkpointed base while ``df`` is that base with other
-    tiles already added), so chained NTILEs do not recompute each other.
-    Actions: one count and one sample collect on ``source``.
+    1. ``repartitionByRange`` cuts the *whole* ordering key (tie-break
+       columns included) into ranges of about ``rows_per_bucket`` rows, from
+       Spark's own bounded sample; a value shared by a third of all rows is
+       split over many ranges by its tie-break columns.
+    2. Inside each range the rows are sorted; ``spark_partition_id()`` is
+       the range and ``monotonically_increasing_id()`` (partition id in the
+       upper bits, record number in the lower 33, as documented) the row's
+       rank inside it. Both are frozen by writing the rows once to the
+       shared checkpoint folder, so a lost executor cannot shift them.
+    3. Rows per range (at most ``max_buckets`` rows) give each range's
+       offset; offset + rank is the exact global position, from which the
+       tile follows. No window runs over more than one range.
+
+    ``order`` should be a total order (end in a unique key); rows equal
+    under ``order`` may swap positions, as with NTILE itself. Actions: a
+    count, the range sampling and one write.
     """
+    from pos360.session import write_and_read
+
     if tiles < 1:
         raise ValueError("tiles must be >= 1")
-    src = df if source is None else source
-    n = src.count()
+    n = df.count()
     if n == 0:
         return df.withColumn(out_col, F.lit(None).cast("int"))
-    key, key_type = _ascending_key(src, order)
     n_buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
-    cuts: list[Column] = []
-    if n_buckets > 1:
-        fraction = min(1.0, sample_per_bucket * n_buckets / n)
-        sample = [r.k for r in src.select(key.alias("k")).sample(False, fraction, seed).orderBy("k").collect()]
-        cut_rows = []
-        for b in range(1, n_buckets):
-            if not sample:
-                break
-            c = sample[min(len(sample) - 1, (b * len(sample)) // n_buckets)]
-            if not cut_rows or c != cut_rows[-1]:
-                cut_rows.append(c)
-        cuts = [_struct_literal(c, key_type) for c in cut_rows]
-
-    if not cuts:
-        # One bucket (n <= rows_per_bucket): its offset is 0, no join needed.
-        w = Window.orderBy(_ascending_key(df, order)[0])
-        return df.withColumn(out_col, ntile_of_position(F.row_number().over(w), n, tiles))
-
-    def bucket_of(frame: DataFrame) -> Column:
-        k, _ = _ascending_key(frame, order)
-        return _bucket_of(k, cuts, 0, len(cuts))
-
-    counts = src.select(bucket_of(src).alias("__b")).groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    by = sort_columns(order)
+    if n_buckets == 1:
+        # n <= rows_per_bucket: one sorted task is bounded by that size.
+        return df.withColumn(out_col, ntile_of_position(F.row_number().over(Window.orderBy(*by)), n, tiles))
+    marked = write_and_read(
+        df.repartitionByRange(n_buckets, *by)
+        .sortWithinPartitions(*by)
+        .withColumn("__pid", F.spark_partition_id())
+        .withColumn("__mid", F.monotonically_increasing_id()),
+        "ntile",
+    )
+    counts = marked.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     # At most max_buckets rows: a single-partition window is bounded here.
     offsets = counts.select(
-        "__b",
+        "__pid",
         F.coalesce(
-            F.sum("__cnt").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            F.sum("__cnt").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("__off"),
     )
-    keyed = df.withColumn("__k", _ascending_key(df, order)[0]).withColumn("__b", bucket_of(df))
-    w = Window.partitionBy("__b").orderBy("__k")
-    pos = F.col("__off") + F.row_number().over(w)
+    rank = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
+    pos = F.col("__off") + rank + 1
     return (
-        keyed.join(F.broadcast(offsets), "__b")
+        marked.join(F.broadcast(offsets), "__pid")
         .withColumn(out_col, ntile_of_position(pos, n, tiles))
-        .drop("__k", "__b", "__off")
+        .drop("__pid", "__mid", "__off")
     )
 
 

@@ -59,9 +59,9 @@ def rfm_scores(cm: DataFrame, params: RunParams = DEFAULT, exact: bool = True, *
         scored = base
         for order, col in ((RECENCY_ORDER, "recency_score"), (FREQUENCY_ORDER, "frequency_score"),
                            (MONETARY_ORDER, "monetary_score")):
-            # Counts, cut points and bucket sizes come from the written
-            # base, so the three rankings do not recompute one another.
-            scored = exact_ntile(scored, k, order, col, source=base, **ntile_opts)
+            # Each ranking writes its ranks once, so the next one starts
+            # from stored rows instead of recomputing the previous ones.
+            scored = exact_ntile(scored, k, order, col, **ntile_opts)
     else:
         scored = base
         for order, col in ((RECENCY_ORDER, "recency_score"), (FREQUENCY_ORDER, "frequency_score"),

@@ -43,7 +43,7 @@ ORDERS = [
 def test_exact_ntile_equals_builtin(spark, n, order, tiles):
     df = spark.createDataFrame(_rows(n, seed=n), SCHEMA)
     # Tiny buckets force many cut points (the multi-bucket path).
-    got = exact_ntile(df, tiles, order, "t", rows_per_bucket=7, max_buckets=64, sample_per_bucket=3)
+    got = exact_ntile(df, tiles, order, "t", rows_per_bucket=7, max_buckets=64)
     want = builtin_ntile(df, tiles, order, "t")
     assert sorted(got.select("id", "t").collect()) == sorted(want.select("id", "t").collect())
 
@@ -54,7 +54,7 @@ def test_exact_ntile_one_hot_value_is_split(spark):
     rows = [(i, 1 if i % 3 == 0 else i, None) for i in range(3000)]
     df = spark.createDataFrame(rows, SCHEMA)
     order = [("r", True), ("id", True)]
-    got = exact_ntile(df, 4, order, "t", rows_per_bucket=100, max_buckets=64, sample_per_bucket=10)
+    got = exact_ntile(df, 4, order, "t", rows_per_bucket=100, max_buckets=64)
     want = builtin_ntile(df, 4, order, "t")
     assert sorted(got.select("id", "t").collect()) == sorted(want.select("id", "t").collect())
 
@@ -83,23 +83,37 @@ def test_dedupe_keep_one(spark):
     assert sorted((r.k or "", r.v) for r in kept) == [("", 3), ("a", 1)]
 
 
-def test_exact_ntile_windows_per_bucket_not_single_partition(spark):
+def test_exact_ntile_has_no_row_window(spark):
     df = spark.createDataFrame(_rows(50), SCHEMA)
     exact = exact_ntile(df, 4, ORDERS[0], "t", rows_per_bucket=7)
     plan = exact._jdf.queryExecution().executedPlan().toString()
-    # Rows are shuffled by bucket; only the bucket-offset table (at most
-    # max_buckets rows) goes through a single partition.
-    assert "hashpartitioning(__b" in plan
+    # Ranks come from range partitions written once; the only window is the
+    # running sum over the per-range counts (at most max_buckets rows).
+    assert "row_number" not in plan
     w = Window.orderBy("id")
     builtin_plan = df.withColumn("x", F.ntile(4).over(w))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" in builtin_plan
 
 
+def test_exact_ntile_many_ranges_large(spark):
+    # 8,000 ranges over 200k rows, a third of them sharing one value.
+    df = spark.range(0, 200_000).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 1000).alias("r"),
+        (F.col("id") * 7919 % 1000).cast("decimal(18,2)").alias("m"),
+    )
+    order = [("r", True), ("m", False), ("id", True)]
+    got = exact_ntile(df, 4, order, "t", rows_per_bucket=25, max_buckets=8192)
+    want = builtin_ntile(df, 4, order, "t")
+    assert got.select("id", "t").exceptAll(want.select("id", "t")).count() == 0
+    assert sorted(r["count"] for r in got.groupBy("t").count().collect()) == [50_000] * 4
+
+
 def test_rfm_scores_many_buckets_equal_builtin(spark):
     from pos360.plans import rfm
     from pos360.plans.catalog import Workspace
 
     cm = Workspace(spark, "/root/testdata/sf0.001").customer_mart
-    exact = rfm.rfm_scores(cm, exact=True, rows_per_bucket=20, max_buckets=64, sample_per_bucket=4)
+    exact = rfm.rfm_scores(cm, exact=True, rows_per_bucket=20, max_buckets=64)
     builtin = rfm.rfm_scores(cm, exact=False)
     assert sorted(map(tuple, exact.collect())) == sorted(map(tuple, builtin.collect()))

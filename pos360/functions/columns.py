@@ -67,11 +67,6 @@ def outside_year(df: DataFrame, name: str, year: int) -> Column:
     return (c < lo) | (c >= hi) | c.isNull()
 
 
-def bill_date(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.to_date(c)
-
-
 def int_avg(c: Column | str) -> Column:
     """AVG over an INT column as an integer engine computes it: the quotient
     truncated toward zero; NULL on no input."""

@@ -49,13 +49,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage
-    (a lost executor then re-reads the files instead of recomputing)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a written table under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)

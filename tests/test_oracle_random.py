@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 from oracle_compare import compare, first_difference
+from pos360.oracle.sql import KEYS as ALL_KEYS
 from pos360.oracle.sql import statement
 from pos360.plans.catalog import Workspace, run
 from pos360.sources.fixtures import Tables
@@ -72,3 +73,26 @@ def test_random_tables_match_oracle(spark, random_env, key):
     sql = statement(key, with_fixtures=False)
     r = compare(df, con, sql)
     assert r["ok"], (r, first_difference(df, con, sql))
+
+
+@pytest.fixture(scope="module")
+def random_env_all(spark, tmp_path_factory):
+    rows = _tables(random.Random(23))
+    d = tmp_path_factory.mktemp("random-all")
+    con = duckdb.connect()
+    tables = {}
+    for name, data in rows.items():
+        path = str(d / name)
+        spark.createDataFrame(data, SCHEMAS[name]).coalesce(1).write.parquet(path)
+        con.execute(f"CREATE VIEW f_{name} AS SELECT * FROM read_parquet('{path}/*.parquet')")
+        tables[name] = spark.read.parquet(path)
+    return Tables(**tables), con
+
+
+@pytest.mark.parametrize("key", ALL_KEYS)
+def test_every_query_on_random_tables(spark, random_env_all, key):
+    tables, con = random_env_all
+    df = run(key, Workspace(spark, raw=tables))
+    sql = statement(key, with_fixtures=False)
+    r = compare(df, con, sql)
+    assert r["ok"], (r, first_difference(df, con, sql))

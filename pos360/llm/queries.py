@@ -6,11 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pos360.llm.decontaminate import op8_suffix_array_decontamination
+from pos360.llm.quality_rules import op7_risk_controlled_rules
 from pos360.llm.sharding import op9_hypergeometric_shards
+from pos360.llm.simhash import op4_simhash_byte_index
+from pos360.llm.substring_automaton import op6_suffix_automata_dedup
 from pos360.llm.suffix_dedup import op1_suffix_array_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op4_simhash_byte_index": op4_simhash_byte_index,
+    "op6_suffix_automata_dedup": op6_suffix_automata_dedup,
+    "op7_risk_controlled_rules": op7_risk_controlled_rules,
+    "op8_suffix_array_decontamination": op8_suffix_array_decontamination,
     "op9_hypergeometric_shards": op9_hypergeometric_shards,
 }
 

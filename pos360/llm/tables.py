@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from pos360.session import shared_path
 
-# Rows handed to Python at a time; texts may be long, so fewer than Spark's own default.
-ARROW_ROWS = 2000
+# Rows handed to Python at a time; texts may be long, so far fewer than the default of Spark.
+ARROW_ROWS = 500
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

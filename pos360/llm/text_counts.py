@@ -56,6 +56,7 @@ def counts(column) -> dict[str, np.ndarray]:
     }
     kind = _LETTERS[body]
     out |= {name: ta.sums(kind == i, off) for i, name in ((1, "n_capitals"), (2, "n_digits"), (3, "n_punctuation"))}
+    out |= {name: ta.sums(body == byte, off) for name, byte in (("n_exclamations", 0x21), ("n_pipes", 0x7C), ("n_stops", 0x2E))}
     # Lines: cut at every \n and at the texts' ends.
     newline = np.flatnonzero(body == 0x0A)
     line_start = np.sort(np.concatenate([off[:-1], newline + 1]))

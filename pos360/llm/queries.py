@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pos360.llm.decontaminate import op8_suffix_array_decontamination
+from pos360.llm.html_extract import op2_tag_path_extraction
+from pos360.llm.quality_gbt import op3_boosted_tree_quality
 from pos360.llm.quality_rules import op7_risk_controlled_rules
+from pos360.llm.quote_linking import op10_quotation_threads
+from pos360.llm.sentencepiece_codec import op5_sentencepiece_unigram
 from pos360.llm.sharding import op9_hypergeometric_shards
 from pos360.llm.simhash import op4_simhash_byte_index
 from pos360.llm.substring_automaton import op6_suffix_automata_dedup
@@ -15,11 +19,15 @@ from pos360.llm.suffix_dedup import op1_suffix_array_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_tag_path_extraction": op2_tag_path_extraction,
+    "op3_boosted_tree_quality": op3_boosted_tree_quality,
     "op4_simhash_byte_index": op4_simhash_byte_index,
+    "op5_sentencepiece_unigram": op5_sentencepiece_unigram,
     "op6_suffix_automata_dedup": op6_suffix_automata_dedup,
     "op7_risk_controlled_rules": op7_risk_controlled_rules,
     "op8_suffix_array_decontamination": op8_suffix_array_decontamination,
     "op9_hypergeometric_shards": op9_hypergeometric_shards,
+    "op10_quotation_threads": op10_quotation_threads,
 }
 
 ORACLE: dict[str, str] = {}

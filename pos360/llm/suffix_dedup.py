@@ -102,8 +102,10 @@ def judge_shard(length: int, batches: int):
 
 
 def dedup_bytes(docs: DataFrame, length: int = MATCH_BYTES, *, keep_rest: bool = False, batches: int = BATCHES) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, and kept
-    (the bytes left, joined); with keep_rest the other columns come in a struct `rest`.
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept (the
+    bytes left, joined) and kept_text (these as text, without the pieces of
+    characters that a removal cut); with keep_rest the other columns come in a
+    struct `rest`.
 
     A byte goes if some string of `length` bytes that covers it also starts in a
     document with a smaller id. Defined cases: null text is empty; a text
@@ -113,7 +115,7 @@ def dedup_bytes(docs: DataFrame, length: int = MATCH_BYTES, *, keep_rest: bool =
     no row; other columns do not matter, whatever their names."""
     rule = ps.Rule(length, ANCHOR_BYTES, False, ps.byte_symbols(ANCHOR_BYTES))
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<from:long,to:long>>, kept binary"
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<from:long,to:long>>, kept binary, kept_text string"
     if keep_rest:
         schema = T.StructType([*T.StructType.fromDDL(schema), T.StructField("rest", T.StructType([f for f in docs.schema if f.name != "text"]))])
 
@@ -134,6 +136,7 @@ def dedup_bytes(docs: DataFrame, length: int = MATCH_BYTES, *, keep_rest: bool =
         table = {"doc_id": pa.array([None if x == ps.FIRST else x for x in order], pa.int64())}
         table |= {k: pa.array(out[k], pa.int64()) for k in ("n_bytes", "n_removed", "n_spans")}
         table |= {"kept_sha256": pa.array(out["kept_sha256"], pa.string()), "spans": pa.array(out["spans"], span), "kept": pa.array(out["kept"], pa.binary())}
+        table["kept_text"] = pa.array([k.decode("utf-8", "ignore") for k in out["kept"]], pa.string())
         if keep_rest:
             table["rest"] = left["rest"]
         return pa.table(table)

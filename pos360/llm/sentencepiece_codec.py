@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pos360.llm import textarrays as ta
 from pos360.llm.tables import arrow_rows, read_table
@@ -274,7 +275,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL) -> DataFrame:
     shared = spark.sparkContext.broadcast(read_model(model))
     docs = docs.drop("n_tokens", "ids", "round_trip")
     rows = docs.select("*", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("#bytes"))
-    schema = docs.schema.add("n_tokens", "long").add("ids", "array<int>").add("round_trip", "boolean")
+    schema = T.StructType(list(docs.schema)).add("n_tokens", "long").add("ids", T.ArrayType(T.IntegerType())).add("round_trip", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]):
         pieces, cache = shared.value, {}
@@ -308,7 +309,7 @@ def decode_ids(tokens: DataFrame, model: str = MODEL) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([None if n else t for n, t in zip(null, text)], pa.string())], [*b.schema.names, "text"])
 
     with arrow_rows(spark, 500):
-        return tokens.mapInArrow(run, tokens.schema.add("text", "string"))
+        return tokens.mapInArrow(run, T.StructType([*tokens.schema, T.StructField("text", T.StringType())]))
 
 
 def op5_sentencepiece_unigram(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pos360.functions.columns import MONEY, outside_year, year_range
+from pos360.functions.columns import MONEY, exact_avg, outside_year, year_range
 from pos360.operators.ranking import dedupe_keep_one
 from pos360.params import DEFAULT, RunParams
 
@@ -113,11 +113,13 @@ def audit_review_averages(reviews: DataFrame, orders: DataFrame) -> DataFrame:
 
 def average_known_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     """One averaged review row per order that exists in ``orders``."""
-    return (
-        reviews.join(_order_ids(orders), "order_id", "left_semi")
-        .groupBy("order_id")
-        .agg(F.avg("score").alias("score"))
-    )
+    return average_reviews(reviews.join(_order_ids(orders), "order_id", "left_semi"))
+
+
+def average_reviews(reviews: DataFrame) -> DataFrame:
+    """One averaged review row per order id, from an exact sum."""
+    score = F.col("score").cast("decimal(18,6)")
+    return reviews.groupBy("order_id").agg(exact_avg(score).alias("score"))
 
 
 def clean_reviews_one_per_order(reviews: DataFrame, orders: DataFrame) -> DataFrame:
@@ -126,7 +128,7 @@ def clean_reviews_one_per_order(reviews: DataFrame, orders: DataFrame) -> DataFr
 
     Only this standalone result carries the untouched reviews: they can never
     join a cleaned order line (cleaned ids are a subset of the known ids), so
-    the marts read ``average_known_reviews`` alone (see ``plans.clean``)."""
+    the marts read plain averages by order id (see ``plans.clean``)."""
     untouched = reviews.join(_order_ids(orders), "order_id", "left_anti").select("order_id", "score")
     return average_known_reviews(reviews, orders).unionByName(untouched)
 
@@ -182,21 +184,27 @@ def audit_amount_mismatch(orders: DataFrame, payments: DataFrame, params: RunPar
 # The original finds group maxima / distinct-product counts with a grouped
 # CTE joined back to the lines. Both are computed here as hash aggregates
 # (map-side combine, so a hot order cannot overload one task) joined back on
-# the group key with NULL-safe equality; the NULL-key guards then restore the
-# original join semantics (a NULL key joins nothing, so its row is neither
-# deleted nor updated). A window per group would need one task per group.
+# the group key. A line without customer or order joins nothing, as in the
+# original, so it is neither deleted nor updated; its join key is replaced by
+# a hash of the line, which spreads such lines over all tasks. A window per
+# group would need one task per group.
 
 def _renamed_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in df.columns if c not in keys])
 
 
 def _join_group_stats(lines: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
-    s = _renamed_keys(stats, keys)
-    cond = None
+    s = _renamed_keys(stats.where(_all_not_null(BASKET_KEY)), keys).withColumn("__full", F.lit(True))
+    full = _all_not_null(BASKET_KEY)
+    spread = F.xxhash64(*[F.col(c) for c in lines.columns]).cast("string")
+    keyed = lines.withColumns({"__in": full, "__order": F.when(full, F.col("order_id")).otherwise(spread)})
+    cond = (keyed["__in"] == s["__full"]) & (keyed["__order"] == s["__order_id"])
     for k in keys:
-        c = lines[k].eqNullSafe(s[f"__{k}"])
-        cond = c if cond is None else cond & c
-    return lines.join(s, cond, "inner").drop(*[f"__{k}" for k in keys])
+        if k == "customer_id":
+            cond = cond & (keyed[k] == s[f"__{k}"])
+        elif k != "order_id":
+            cond = cond & keyed[k].eqNullSafe(s[f"__{k}"])
+    return keyed.join(s, cond, "left").drop(*[f"__{k}" for k in keys], "__full", "__in", "__order")
 
 
 def _all_not_null(keys: Sequence[str]) -> Column:
@@ -216,11 +224,15 @@ def _multi_product_stats(per_line: DataFrame) -> DataFrame:
     # ``per_line`` holds one row per distinct (customer, order, product), so
     # counting its non-NULL products per basket is an exact distinct count
     # done by two hash aggregates, each combined map-side.
-    return per_line.groupBy(*BASKET_KEY).agg((F.count("product_id") > 1).alias("__multi"))
+    # ``max_quantity`` is read here too (the comparison holds for every
+    # number): both uses of ``per_line`` then need the same columns, and the
+    # second reuses the shuffle of the first.
+    known = F.col("product_id").isNotNull() & (F.col("max_quantity").isNull() | (F.col("max_quantity") >= -(2**31)))
+    return per_line.groupBy(*BASKET_KEY).agg((F.count_if(known) > 1).alias("__multi"))
 
 
 def _with_multi_product(orders: DataFrame) -> DataFrame:
-    stats = _multi_product_stats(orders.select(*LINE_KEY).distinct())
+    stats = _multi_product_stats(orders.groupBy(*LINE_KEY).agg(F.max("quantity").alias("max_quantity")))
     return _join_group_stats(orders, stats, BASKET_KEY)
 
 
@@ -288,8 +300,9 @@ def clean_orders(orders: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
 
     Deleting below-max lines never changes which products a (customer,
     order) holds, since each (customer, order, product) group keeps its
-    max rows, so both group statistics come from one aggregation and one
-    join back to the lines.
+    max rows, so both group statistics come from one aggregation: the lines
+    are scanned twice, once as lines and once for the statistics, whose
+    shuffle serves both.
     """
     base = clean_round_amounts(clean_drop_year(orders, params))
     per_line = base.groupBy(*LINE_KEY).agg(F.max("quantity").alias("max_quantity"))

@@ -70,49 +70,47 @@ def exact_ntile(
     order: OrderSpec,
     out_col: str,
     *,
-    rows_per_bucket: int = 1_000_000,
-    max_buckets: int = 8192,
+    rows_per_range: int = 1_000_000,
+    n: int | None = None,
 ) -> DataFrame:
-    """``NTILE(tiles) OVER (ORDER BY order)`` without a single-partition window.
+    """``NTILE(tiles) OVER (ORDER BY order)`` without a window over the rows.
 
     1. ``repartitionByRange`` cuts the *whole* ordering key (tie-break
-       columns included) into ranges of about ``rows_per_bucket`` rows, from
-       Spark's own bounded sample; a value shared by a third of all rows is
-       split over many ranges by its tie-break columns.
+       columns included) into ranges of about ``rows_per_range`` rows, and
+       into as many ranges as the session has shuffle partitions at least,
+       from Spark's own bounded sample; a value shared by a third of all rows
+       is split over many ranges by its tie-break columns.
     2. Inside each range the rows are sorted; ``spark_partition_id()`` is
        the range and ``monotonically_increasing_id()`` (partition id in the
        upper bits, record number in the lower 33, as documented) the row's
        rank inside it. Both are frozen by writing the rows once to the
        shared checkpoint folder, so a lost executor cannot shift them.
-    3. Rows per range (at most ``max_buckets`` rows) give each range's
-       offset; offset + rank is the exact global position, from which the
-       tile follows. No window runs over more than one range.
+    3. Rows per range give each range's offset; offset + rank is the exact
+       global position, from which the tile follows. The only window over all
+       of something runs over one count per range.
 
     ``order`` should be a total order (end in a unique key); rows equal
     under ``order`` may swap positions, as with NTILE itself. Actions: a
-    count, the range sampling and one write.
+    count (unless ``n`` gives it), the range sampling and one write.
     """
     from pos360.session import write_and_read
 
     if tiles < 1:
         raise ValueError("tiles must be >= 1")
-    n = df.count()
+    n = df.count() if n is None else n
     if n == 0:
         return df.withColumn(out_col, F.lit(None).cast("int"))
-    n_buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
+    n_ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / rows_per_range))
     by = sort_columns(order)
-    if n_buckets == 1:
-        # n <= rows_per_bucket: one sorted task is bounded by that size.
-        return df.withColumn(out_col, ntile_of_position(F.row_number().over(Window.orderBy(*by)), n, tiles))
     marked = write_and_read(
-        df.repartitionByRange(n_buckets, *by)
+        df.repartitionByRange(n_ranges, *by)
         .sortWithinPartitions(*by)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__mid", F.monotonically_increasing_id()),
         "ntile",
     )
     counts = marked.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
-    # At most max_buckets rows: a single-partition window is bounded here.
+    # One row per range, i.e. one per million rows of a large input.
     offsets = counts.select(
         "__pid",
         F.coalesce(
@@ -122,14 +120,7 @@ def exact_ntile(
     rank = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
     pos = F.col("__off") + rank + 1
     return (
-        marked.join(F.broadcast(offsets), "__pid")
+        marked.join(offsets, "__pid")
         .withColumn(out_col, ntile_of_position(pos, n, tiles))
         .drop("__pid", "__mid", "__off")
     )
-
-
-def builtin_ntile(df: DataFrame, tiles: int, order: OrderSpec, out_col: str) -> DataFrame:
-    """Spark's own ``ntile`` over an unpartitioned window: every row goes
-    through one task. Kept as the baseline ``exact_ntile`` is measured
-    against; do not use it on large inputs."""
-    return df.withColumn(out_col, F.ntile(tiles).over(Window.orderBy(*sort_columns(order))))

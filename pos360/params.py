@@ -16,21 +16,21 @@ CORRECTED = "corrected"
 
 @dataclass(frozen=True)
 class RunParams:
-    # Date used for "inactive days" (the scripts use the run date) and for
-    # RFM recency (the scripts use a fixed end-of-analysis date).
-    as_of: dt.date = dt.date(2001, 12, 31)
-    # Order lines billed in this calendar year are deleted by the cleaning
-    # chain (the scripts drop one year of orders).
-    drop_year: int = 2001
+    # The year whose order lines the cleaning chain deletes, and
+    # the end-of-analysis date of RFM recency.
+    drop_year: int = 2020
+    rfm_as_of: dt.date = dt.date(2023, 12, 31)
+    # Date up to which "inactive days" count; None is the day of the run.
+    inactive_as_of: dt.date | None = None
     semantics: str = REFERENCE
-    # Number of RFM score buckets.
+    # Number of RFM score buckets; the segments' bands are those of four.
     rfm_tiles: int = 4
 
     def __post_init__(self) -> None:
         if self.semantics not in (REFERENCE, CORRECTED):
             raise ValueError(f"semantics must be {REFERENCE!r} or {CORRECTED!r}")
-        if self.rfm_tiles < 1:
-            raise ValueError("rfm_tiles must be >= 1")
+        if self.rfm_tiles != 4:
+            raise ValueError("the segments' bands of total scores are defined for rfm_tiles=4")
 
     @property
     def corrected(self) -> bool:

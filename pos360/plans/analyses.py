@@ -1,6 +1,6 @@
 """Analyses the README names without SQL behind them:
 cohort retention, cross-selling, seasonality, satisfaction by dimension and
-sales by RFM segment. All read the enriched order mart ``om``.
+sales by RFM segment. All but X4 read the enriched order mart ``om``.
 """
 
 from __future__ import annotations
@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pos360.functions.columns import exact_avg, ratio_pct
+from pos360.functions.columns import float_avg, ratio_pct
+from pos360.plans.order_mart import one_product
+from pos360.sources.fixtures import Tables
 
 
 def cohort_retention(om: DataFrame) -> DataFrame:
@@ -21,9 +23,9 @@ def cohort_retention(om: DataFrame) -> DataFrame:
         .select("custid", F.trunc(F.to_date("order_date"), "month").alias("month"))
         .distinct()
     )
-    cohort = active.groupBy("custid").agg(F.min("month").alias("cohort_month"))
+    # A customer has one row per month here, so the window is bounded.
     per = (
-        active.join(cohort, "custid")
+        active.withColumn("cohort_month", F.min("month").over(Window.partitionBy("custid")))
         .withColumn(
             "month_offset",
             (F.year("month") * 12 + F.month("month")) - (F.year("cohort_month") * 12 + F.month("cohort_month")),
@@ -31,11 +33,9 @@ def cohort_retention(om: DataFrame) -> DataFrame:
         .groupBy("cohort_month", "month_offset")
         .agg(F.count(F.lit(1)).alias("active_customers"))
     )
-    size = per.where(F.col("month_offset") == 0).select("cohort_month", F.col("active_customers").alias("__size"))
+    size = F.max(F.when(F.col("month_offset") == 0, F.col("active_customers"))).over(Window.partitionBy("cohort_month"))
     return (
-        per.join(size, "cohort_month")
-        .withColumn("retention_pct", ratio_pct(F.col("active_customers"), F.col("__size")))
-        .drop("__size")
+        per.withColumn("retention_pct", ratio_pct(F.col("active_customers"), size))
         .orderBy("cohort_month", "month_offset")
     )
 
@@ -91,24 +91,26 @@ def seasonality_index(om: DataFrame) -> DataFrame:
     )
 
 
-def satisfaction_by_dimension(om: DataFrame) -> DataFrame:
-    """Mean order score per store, per category and per channel.
+def satisfaction_by_dimension(clean: Tables) -> DataFrame:
+    """Mean order score per store, per category and per channel, of the
+    averaged reviews as they are (the mart's column truncates them).
 
     One scan: each line is unpivoted into its three (dimension, value)
-    pairs, reduced to distinct rated (dimension, value, order) rows, then
-    averaged."""
-    pairs = om.where(F.col("satisfaction_score").isNotNull() & F.col("order_id").isNotNull()).select(
+    pairs, reduced to distinct (dimension, value, order) rows, then joined
+    with the scores and averaged."""
+    lines = clean.orders.where(F.col("order_id").isNotNull()).select("order_id", "product_id", "delivered_store_id", "channel")
+    pairs = lines.join(one_product(clean.products), "product_id", "left").select(
         "order_id",
-        "satisfaction_score",
         F.explode(F.array(
-            F.struct(F.lit("store").alias("dimension"), F.col("store_id").cast("string").alias("value")),
-            F.struct(F.lit("category").alias("dimension"), F.col("product_category").alias("value")),
+            F.struct(F.lit("store").alias("dimension"), F.col("delivered_store_id").cast("string").alias("value")),
+            F.struct(F.lit("category").alias("dimension"), F.col("category").alias("value")),
             F.struct(F.lit("channel").alias("dimension"), F.col("channel").alias("value")),
         )).alias("d"),
-    ).select("d.dimension", "d.value", "order_id", "satisfaction_score").distinct()
+    ).select("d.dimension", "d.value", "order_id").distinct()
+    rated = pairs.join(clean.reviews.where(F.col("score").isNotNull()).select("order_id", "score"), "order_id")
     return (
-        pairs.groupBy("dimension", "value")
-        .agg(exact_avg("satisfaction_score").alias("avg_score"), F.count(F.lit(1)).alias("rated_orders"))
+        rated.groupBy("dimension", "value")
+        .agg(float_avg("score").alias("avg_score"), F.count(F.lit(1)).alias("rated_orders"))
         .orderBy("dimension", F.col("value").asc_nulls_first())
     )
 

@@ -8,19 +8,15 @@ from pos360.sources.fixtures import Tables
 
 
 def clean_tables(raw: Tables, params: RunParams = DEFAULT) -> Tables:
-    """Apply every cleaning step. Reviews are averaged against the *raw*
-    orders (the original joins its untouched orders table there).
-
-    The bundle keeps only the averaged reviews of known orders: a review of
-    an unknown order can never match a cleaned order line (cleaned ids are a
-    subset of the raw ones), so every mart gives the same rows, and a union
-    of two order-partitioned branches never feeds a join (Spark 4.1 can
-    mis-align such a union's partitions when it is reused in one plan)."""
+    """Apply every cleaning step. Reviews are averaged by order id without a
+    look at the orders: a review of an unknown order can never match a cleaned
+    order line (cleaned ids are a subset of the raw ones), so every mart gives
+    the same rows as with the reviews of known orders."""
     return Tables(
         orders=q.clean_orders(raw.orders, params),
         customers=q.clean_city_special_chars(raw.customers),
         products=q.clean_missing_category(raw.products),
         stores=q.clean_store_duplicates(raw.stores),
         payments=q.clean_payment_duplicates(q.clean_round_payments(raw.payments)),
-        reviews=q.average_known_reviews(raw.reviews, raw.orders),
+        reviews=q.average_reviews(raw.reviews),
     )

@@ -159,6 +159,7 @@ def customer_level_360(clean: Tables, params: RunParams = DEFAULT) -> DataFrame:
     out = out.withColumns({
         **pay_sums,
         "distinct_payment_types_used": F.coalesce("distinct_payment_types_used", F.lit(0)).cast("bigint"),
-        "inactive_days": F.datediff(F.lit(params.as_of), F.col("last_transaction_date")),
+        "inactive_days": F.datediff(
+            F.current_date() if params.inactive_as_of is None else F.lit(params.inactive_as_of), "last_transaction_date"),
     })
     return out.select(*CUSTOMER_MART_COLUMNS)

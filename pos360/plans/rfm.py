@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pos360.operators.ranking import builtin_ntile, exact_ntile
+from pos360.operators.ranking import exact_ntile
 from pos360.params import DEFAULT, RunParams
 from pos360.session import write_and_read
 
@@ -26,13 +26,13 @@ MONETARY_ORDER = (("monetary", False), ("custid", True), ("recency", True), ("fr
 
 def rfm_base(cm: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """Distinct (customer, last date, frequency, monetary) with recency in
-    days up to ``params.as_of``."""
+    days up to ``params.rfm_as_of``."""
     return (
         cm.select("custid", "last_transaction_date", "frequency", "monetary")
         .distinct()
         .select(
             "custid",
-            F.datediff(F.lit(params.as_of), F.col("last_transaction_date")).alias("recency"),
+            F.datediff(F.lit(params.rfm_as_of), F.col("last_transaction_date")).alias("recency"),
             "frequency",
             "monetary",
         )
@@ -44,29 +44,22 @@ def rfm_recency(cm: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     return rfm_base(cm, params).select("custid", "recency")
 
 
-def rfm_scores(cm: DataFrame, params: RunParams = DEFAULT, exact: bool = True, **ntile_opts) -> DataFrame:
+def rfm_scores(cm: DataFrame, params: RunParams = DEFAULT, **ntile_opts) -> DataFrame:
     """F2: three NTILE scores and the concatenated segment code.
 
-    ``exact=True`` uses the distributed exact NTILE (the customer-grain base
-    is written once to the shared checkpoint folder first: the ranking reads
-    it several times); ``exact=False`` Spark's own
-    single-partition window. Reference (D10): score = tile, so the best
-    customers get 1. Corrected: score = tiles + 1 - tile."""
+    The customer-grain base is written once with a row number; each ranking
+    reads its ordering columns from it and adds (row, tile), so no ranking
+    carries another one's columns, and rows that share an id stay apart.
+    Reference (D10): score = tile, so the best customers get 1. Corrected:
+    score = tiles + 1 - tile."""
     k = params.rfm_tiles
-    base = rfm_base(cm, params)
-    if exact:
-        base = write_and_read(base, "rfm-base")
-        scored = base
-        for order, col in ((RECENCY_ORDER, "recency_score"), (FREQUENCY_ORDER, "frequency_score"),
-                           (MONETARY_ORDER, "monetary_score")):
-            # Each ranking writes its ranks once, so the next one starts
-            # from stored rows instead of recomputing the previous ones.
-            scored = exact_ntile(scored, k, order, col, **ntile_opts)
-    else:
-        scored = base
-        for order, col in ((RECENCY_ORDER, "recency_score"), (FREQUENCY_ORDER, "frequency_score"),
-                           (MONETARY_ORDER, "monetary_score")):
-            scored = builtin_ntile(scored, k, order, col)
+    base = write_and_read(rfm_base(cm, params).withColumn("__row", F.monotonically_increasing_id()), "rfm-base")
+    n = base.count()
+    scored = base
+    for order, col in ((RECENCY_ORDER, "recency_score"), (FREQUENCY_ORDER, "frequency_score"),
+                       (MONETARY_ORDER, "monetary_score")):
+        tiles = exact_ntile(base, k, order, col, n=n, **ntile_opts).select("__row", col)
+        scored = scored.join(tiles, "__row")
     if params.corrected:
         scored = scored.withColumns({
             c: (F.lit(k + 1) - F.col(c)).cast("int") for c in ("recency_score", "frequency_score", "monetary_score")
@@ -88,9 +81,9 @@ def segment_of(total: F.Column) -> F.Column:
     return expr.otherwise(F.lit(UNDEFINED_SEGMENT))
 
 
-def rfm_segments(cm: DataFrame, params: RunParams = DEFAULT, exact: bool = True, **ntile_opts) -> DataFrame:
+def rfm_segments(cm: DataFrame, params: RunParams = DEFAULT, **ntile_opts) -> DataFrame:
     """total score and segment name."""
-    s = rfm_scores(cm, params, exact, **ntile_opts)
+    s = rfm_scores(cm, params, **ntile_opts)
     total = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     return s.select(
         "custid", "recency", "recency_score", "frequency", "frequency_score", "monetary", "monetary_score",
@@ -98,10 +91,10 @@ def rfm_segments(cm: DataFrame, params: RunParams = DEFAULT, exact: bool = True,
     )
 
 
-def rfm_segment_counts(cm: DataFrame, params: RunParams = DEFAULT, exact: bool = True, **ntile_opts) -> DataFrame:
+def rfm_segment_counts(cm: DataFrame, params: RunParams = DEFAULT, **ntile_opts) -> DataFrame:
     """customers per segment."""
     return (
-        rfm_segments(cm, params, exact, **ntile_opts)
+        rfm_segments(cm, params, **ntile_opts)
         .groupBy("customer_segment")
         .agg(F.count(F.lit(1)).alias("customer_count"))
     )

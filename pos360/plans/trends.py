@@ -43,18 +43,19 @@ def new_customer_revenue_by_month(om: DataFrame, params: RunParams = DEFAULT) ->
     Reference (D09): the first month is min(year) with min(month) taken
     separately. Corrected: the month of the first order."""
     ts = F.col("order_date")
+    monthly = om.where(F.col("custid").isNotNull()).groupBy(
+        "custid", F.year(ts).alias("year"), F.month(ts).alias("month")
+    ).agg(F.round(F.sum("total_amount"), 2).alias("revenue"), F.min(ts).alias("__first"))
+    # A customer has one row per month here, so the window is bounded.
+    own = Window.partitionBy("custid")
     if params.corrected:
-        first = om.groupBy("custid").agg(F.min(ts).alias("__first")).select(
-            "custid", F.year("__first").alias("first_year"), F.month("__first").alias("first_month")
-        )
+        start = F.min("__first").over(own)
+        first_year, first_month = F.year(start), F.month(start)
     else:
-        first = om.groupBy("custid").agg(F.min(F.year(ts)).alias("first_year"), F.min(F.month(ts)).alias("first_month"))
-    monthly = om.groupBy("custid", F.year(ts).alias("year"), F.month(ts).alias("month")).agg(
-        F.round(F.sum("total_amount"), 2).alias("revenue")
-    )
+        first_year, first_month = F.min("year").over(own), F.min("month").over(own)
     is_new = (F.col("year") == F.col("first_year")) & (F.col("month") == F.col("first_month"))
     return (
-        monthly.join(first, "custid")
+        monthly.withColumns({"first_year": first_year, "first_month": first_month})
         .groupBy("year", "month")
         .agg(F.round(F.sum(F.when(is_new, F.col("revenue")).otherwise(0)), 2).alias("new_customer_revenue"))
         .orderBy("year", "month")

@@ -10,11 +10,14 @@ here.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pos360.params import RunParams
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -30,6 +33,15 @@ _PAYMENT_TYPE = (
 )
 
 
+#: Spellings of the text dates besides the default one.
+DATE_FORMATS = ("dd/MM/yyyy HH:mm",)
+_DATE_TEXT = (
+    "CASE WHEN line_no = 5 THEN concat('31/02/', date_format(bill_date_timestamp, 'yyyy HH:mm')) WHEN line_no = 6 THEN '' "
+    "WHEN line_no % 2 = 0 THEN date_format(bill_date_timestamp, 'dd/MM/yyyy HH:mm') "
+    "ELSE date_format(bill_date_timestamp, 'yyyy-MM-dd HH:mm:ss') END"
+)
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem")
     o = _read(spark, sf_dir, "orders")
@@ -132,6 +144,10 @@ class Tables:
     reviews: DataFrame
 
 
+#: The test tables' own dates: their orders end in 2001.
+FIXTURE_PARAMS = RunParams(drop_year=2001, rfm_as_of=dt.date(2001, 12, 31), inactive_as_of=dt.date(2001, 12, 31))
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(
         orders=orders(spark, sf_dir),
@@ -150,6 +166,12 @@ def tables_from_paths(spark: SparkSession, paths: dict[str, str], fmt: str = "pa
     return Tables(**{name: read_table(spark, name, path, fmt) for name, path in paths.items()})
 
 
+def order_date_texts(orders: DataFrame) -> DataFrame:
+    """Bill dates as text in the spellings that hand-kept files mix; some are
+    blank, some are no date (FIXTURES.md §2)."""
+    return orders.selectExpr("order_id", f"{_DATE_TEXT} AS bill_date_text")
+
+
 def write_inputs(tables: Tables) -> Tables:
     """The six input tables written once as Parquet (shared checkpoint
     folder) and read back, so that every later job scans stored tables, as

@@ -1,5 +1,6 @@
 """Readers for the six input tables: Parquet (default) or CSV, always with the
-declared schema (no inference), original column names mapped to snake_case.
+declared schema (no inference), original column names mapped to snake_case
+whatever their case, blanks and underscores; a column that is not found raises.
 
 Text columns that should be typed (a bill date stored as text, a quantity
 stored as text) are converted leniently: unparseable values become NULL,
@@ -8,41 +9,99 @@ as ``TRY_CAST`` does, instead of failing the job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pos360.sources.schema import NAME_MAP, SCHEMAS
 
 
-def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    renamed = df
-    for c in df.columns:
-        target = NAME_MAP.get(c)
-        if target is None and c.lower() != c:
-            target = NAME_MAP.get(c.strip(), c.strip().lower().replace(" ", "_"))
-        if target and target != c:
-            renamed = renamed.withColumnRenamed(c, target)
+#: Columns that an input may lack; all others must be there.
+OPTIONAL = frozenset(["line_no"])
+
+
+def _canonical(name: str) -> str:
+    """Header spelling without case, blanks and underscores."""
+    return re.sub(r"[\s_]+", "", name).lower()
+
+
+def _sources(columns: list[str], schema: T.StructType) -> dict[str, str]:
+    """Schema column -> input column, matched by spelling in any case."""
+    spelled = {_canonical(f.name): f.name for f in schema.fields}
+    spelled |= {_canonical(k): v for k, v in NAME_MAP.items() if v in schema.names}
+    found: dict[str, str] = {}
+    for c in columns:
+        target = spelled.get(_canonical(c))
+        if target is None:
+            continue
+        if target in found:
+            raise ValueError(f"columns {found[target]!r} and {c!r} both mean {target!r}")
+        found[target] = c
+    missing = [f.name for f in schema.fields if f.name not in found and f.name not in OPTIONAL]
+    if missing:
+        raise ValueError(f"input columns {columns} lack {missing}")
+    return found
+
+
+def parse_timestamp(text: Column, date_formats: Sequence[str] = ()) -> Column:
+    """Text as a timestamp: Spark's default spelling, then each format in
+    order; NULL if none fits."""
+    return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in date_formats])
+
+
+def audit_unparseable_dates(df: DataFrame, column: str, date_formats: Sequence[str] = ()) -> DataFrame:
+    """Rows, rows without a date text, and rows whose text is no date in
+    any known spelling (these become NULL and stay when a year is dropped)."""
+    text = F.trim(F.col(column))
+    blank = F.coalesce(text == "", F.lit(True))
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(blank).alias("n_blank"),
+        F.count_if(~blank & parse_timestamp(text, date_formats).isNull()).alias("n_unparseable"),
+    )
+
+
+def normalise_text(df: DataFrame, spellings: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Opt-in: values that equal one of a column's ``spellings`` but for case
+    and outer blanks become that spelling; all others stay as they are."""
+    out = {}
+    for column, known in spellings.items():
+        key = F.lower(F.trim(F.col(column)))
+        expr = F.col(column)
+        for name in known:
+            expr = F.when(key == name.strip().lower(), F.lit(name)).otherwise(expr)
+        out[column] = expr
+    return df.withColumns(out)
+
+
+def _conform(df: DataFrame, schema: T.StructType, date_formats: Sequence[str] = ()) -> DataFrame:
+    found = _sources(df.columns, schema)
     cols = []
-    present = set(renamed.columns)
     for f in schema.fields:
-        if f.name not in present:
+        if f.name not in found:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
-        src = renamed.schema[f.name].dataType
-        c = F.col(f.name)
+        src = df.schema[found[f.name]].dataType
+        c = F.col(f"`{found[f.name]}`")
         if src == f.dataType:
-            cols.append(c)
+            out = c
         elif isinstance(src, T.StringType) and isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            ts = F.try_to_timestamp(c)
-            cols.append((ts.cast(f.dataType) if isinstance(f.dataType, T.TimestampNTZType) else ts).alias(f.name))
+            out = parse_timestamp(c, date_formats).cast(f.dataType)
         else:
-            cols.append(c.try_cast(f.dataType).alias(f.name))
-    return renamed.select(*cols)
+            out = c.try_cast(f.dataType)
+        cols.append(out.alias(f.name))
+    return df.select(*cols)
+
 
+def read_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet", date_formats: Sequence[str] = (),
+               **options) -> DataFrame:
+    """Read one of ``orders customers products stores payments reviews``.
 
-def read_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """Read one of ``orders customers products stores payments reviews``."""
+    ``date_formats``: spellings of text dates, tried in order after Spark's
+    default. A missing required column raises."""
     schema = SCHEMAS[name]
     if fmt == "parquet":
         df = spark.read.options(**options).parquet(path)
@@ -51,7 +110,7 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
         df = spark.read.options(header="true", **options).csv(path)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
-    return _conform(df, schema)
+    return _conform(df, schema, date_formats)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

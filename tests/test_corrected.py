@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 
 from micro import micro_tables
 from pos360.operators import quality as q
-from pos360.params import CORRECTED, DEFAULT, RunParams
+from pos360.params import CORRECTED, RunParams
+from pos360.sources.fixtures import FIXTURE_PARAMS as DEFAULT
 from pos360.plans import kpi, rfm, trends
 from pos360.plans.catalog import Workspace
 
-COR = RunParams(semantics=CORRECTED)
+COR = DEFAULT.with_(semantics=CORRECTED)
 
 
 @pytest.fixture(scope="module")
 def ws(spark):
     raw = micro_tables(spark)
-    return Workspace(spark, raw=raw), Workspace(spark, raw=raw, params=COR)
+    return Workspace(spark, raw=raw, params=DEFAULT), Workspace(spark, raw=raw, params=COR)
 
 
 def test_params_validate():

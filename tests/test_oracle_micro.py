@@ -10,6 +10,7 @@ from micro import micro_tables
 from oracle_compare import compare, first_difference
 from pos360.oracle.sql import KEYS, statement
 from pos360.plans.catalog import Workspace, run
+from pos360.sources.fixtures import FIXTURE_PARAMS
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +33,7 @@ def micro_env(spark, tmp_path_factory):
 @pytest.mark.parametrize("key", KEYS)
 def test_micro_matches_oracle(spark, micro_env, key):
     tables, con = micro_env
-    df = run(key, Workspace(spark, raw=tables))
+    df = run(key, Workspace(spark, raw=tables, params=FIXTURE_PARAMS))
     sql = statement(key, with_fixtures=False)
     r = compare(df, con, sql)
     assert r["ok"], (r, first_difference(df, con, sql))

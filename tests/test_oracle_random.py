@@ -14,7 +14,7 @@ from oracle_compare import compare, first_difference
 from pos360.oracle.sql import KEYS as ALL_KEYS
 from pos360.oracle.sql import statement
 from pos360.plans.catalog import Workspace, run
-from pos360.sources.fixtures import Tables
+from pos360.sources.fixtures import FIXTURE_PARAMS, Tables
 from pos360.sources.schema import SCHEMAS
 
 KEYS = ("clean_orders", "customer_level_360", "order_level_enriched", "store_level_360", "rfm_segments",
@@ -69,7 +69,7 @@ def random_env(request, spark, tmp_path_factory):
 @pytest.mark.parametrize("key", KEYS)
 def test_random_tables_match_oracle(spark, random_env, key):
     tables, con = random_env
-    df = run(key, Workspace(spark, raw=tables))
+    df = run(key, Workspace(spark, raw=tables, params=FIXTURE_PARAMS))
     sql = statement(key, with_fixtures=False)
     r = compare(df, con, sql)
     assert r["ok"], (r, first_difference(df, con, sql))
@@ -92,7 +92,7 @@ def random_env_all(spark, tmp_path_factory):
 @pytest.mark.parametrize("key", ALL_KEYS)
 def test_every_query_on_random_tables(spark, random_env_all, key):
     tables, con = random_env_all
-    df = run(key, Workspace(spark, raw=tables))
+    df = run(key, Workspace(spark, raw=tables, params=FIXTURE_PARAMS))
     sql = statement(key, with_fixtures=False)
     r = compare(df, con, sql)
     assert r["ok"], (r, first_difference(df, con, sql))

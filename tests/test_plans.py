@@ -11,13 +11,12 @@ import pytest
 from pos360.plans.catalog import KEYS, Workspace, run
 
 SF_DIR = "/root/testdata/sf0.001"
+RFM = ("rfm_scores", "rfm_segments", "rfm_segment_counts", "rfm_segments_corrected", "segment_performance")
 
 # Unpartitioned windows that are bounded by construction: the seasonality
-# ratio (at most 12 month rows) and the exact NTILE (bucket offsets: at most
-# max_buckets rows; a single bucket only while n <= rows_per_bucket).
-BOUNDED_GLOBAL_WINDOWS = {"seasonality_index", "rfm_scores", "rfm_segments", "rfm_segment_counts",
-                          "rfm_segments_corrected",
-                          "segment_performance"}
+# ratio (at most 12 month rows) and the exact NTILE's range offsets (one row
+# per range, checked below).
+BOUNDED_GLOBAL_WINDOWS = {"seasonality_index", *RFM}
 
 
 def _nodes(df):
@@ -44,3 +43,22 @@ def test_plan_shape(spark, no_aqe, key):
             assert key in BOUNDED_GLOBAL_WINDOWS, f"{key}: window over all rows"
     if key.startswith("clean_") or key.startswith("audit_"):
         assert "WindowExec" not in classes or key == "clean_store_duplicates", key
+
+
+@pytest.mark.parametrize("key", RFM)
+def test_ntile_has_no_window_over_customers(spark, no_aqe, key):
+    """All windows over everything read range counts: below each is an aggregate by range."""
+    nodes = _nodes(run(key, Workspace(spark, SF_DIR)))
+    plan = run(key, Workspace(spark, SF_DIR))._jdf.queryExecution().executedPlan().toString()
+    windows = [n for n in nodes if n["class"].endswith("WindowExec") and not n.get("partitionSpec")]
+    assert windows and all("__pid" in json.dumps(n["orderSpec"]) for n in windows)
+    assert "ntile" not in plan.lower().replace("ntile-", "")
+
+
+@pytest.mark.parametrize("key", ["clean_orders", "order_level_enriched"])
+def test_lines_are_scanned_twice_at_most(spark, no_aqe, key):
+    """The two group statistics of the cleaning chain share one scan and shuffle."""
+    nodes = _nodes(run(key, Workspace(spark, SF_DIR)))
+    scans = [n for n in nodes if n["class"].endswith("FileSourceScanExec") and "l_quantity" in json.dumps(n["output"])]
+    reused = [n for n in nodes if n["class"].endswith("ReusedExchangeExec")]
+    assert len(scans) <= 2 and reused

@@ -10,7 +10,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pos360.operators.ranking import builtin_ntile, dedupe_keep_one, exact_ntile, ntile_of_position, top1_per_key
+from pos360.operators.ranking import dedupe_keep_one, exact_ntile, ntile_of_position, sort_columns, top1_per_key
+
+def builtin_ntile(df, tiles, order, out_col):
+    """Spark's own ntile over one window of all rows."""
+    return df.withColumn(out_col, F.ntile(tiles).over(Window.orderBy(*sort_columns(order))))
+
 
 SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
@@ -42,8 +47,8 @@ ORDERS = [
 @pytest.mark.parametrize("tiles", [1, 4, 7])
 def test_exact_ntile_equals_builtin(spark, n, order, tiles):
     df = spark.createDataFrame(_rows(n, seed=n), SCHEMA)
-    # Tiny buckets force many cut points (the multi-bucket path).
-    got = exact_ntile(df, tiles, order, "t", rows_per_bucket=7, max_buckets=64)
+    # Tiny ranges force many cut points.
+    got = exact_ntile(df, tiles, order, "t", rows_per_range=7)
     want = builtin_ntile(df, tiles, order, "t")
     assert sorted(got.select("id", "t").collect()) == sorted(want.select("id", "t").collect())
 
@@ -54,7 +59,7 @@ def test_exact_ntile_one_hot_value_is_split(spark):
     rows = [(i, 1 if i % 3 == 0 else i, None) for i in range(3000)]
     df = spark.createDataFrame(rows, SCHEMA)
     order = [("r", True), ("id", True)]
-    got = exact_ntile(df, 4, order, "t", rows_per_bucket=100, max_buckets=64)
+    got = exact_ntile(df, 4, order, "t", rows_per_range=100)
     want = builtin_ntile(df, 4, order, "t")
     assert sorted(got.select("id", "t").collect()) == sorted(want.select("id", "t").collect())
 
@@ -85,10 +90,10 @@ def test_dedupe_keep_one(spark):
 
 def test_exact_ntile_has_no_row_window(spark):
     df = spark.createDataFrame(_rows(50), SCHEMA)
-    exact = exact_ntile(df, 4, ORDERS[0], "t", rows_per_bucket=7)
+    exact = exact_ntile(df, 4, ORDERS[0], "t", rows_per_range=7)
     plan = exact._jdf.queryExecution().executedPlan().toString()
     # Ranks come from range partitions written once; the only window is the
-    # running sum over the per-range counts (at most max_buckets rows).
+    # running sum over the per-range counts .
     assert "row_number" not in plan
     w = Window.orderBy("id")
     builtin_plan = df.withColumn("x", F.ntile(4).over(w))._jdf.queryExecution().executedPlan().toString()
@@ -103,17 +108,31 @@ def test_exact_ntile_many_ranges_large(spark):
         (F.col("id") * 7919 % 1000).cast("decimal(18,2)").alias("m"),
     )
     order = [("r", True), ("m", False), ("id", True)]
-    got = exact_ntile(df, 4, order, "t", rows_per_bucket=25, max_buckets=8192)
+    got = exact_ntile(df, 4, order, "t", rows_per_range=25)
     want = builtin_ntile(df, 4, order, "t")
     assert got.select("id", "t").exceptAll(want.select("id", "t")).count() == 0
     assert sorted(r["count"] for r in got.groupBy("t").count().collect()) == [50_000] * 4
 
 
-def test_rfm_scores_many_buckets_equal_builtin(spark):
+@pytest.mark.parametrize("options", [{}, {"rows_per_range": 20}])
+def test_rfm_scores_equal_builtin(spark, options):
     from pos360.plans import rfm
     from pos360.plans.catalog import Workspace
 
-    cm = Workspace(spark, "/root/testdata/sf0.001").customer_mart
-    exact = rfm.rfm_scores(cm, exact=True, rows_per_bucket=20, max_buckets=64)
-    builtin = rfm.rfm_scores(cm, exact=False)
-    assert sorted(map(tuple, exact.collect())) == sorted(map(tuple, builtin.collect()))
+    w = Workspace(spark, "/root/testdata/sf0.001")
+    want = rfm.rfm_base(w.customer_mart, w.params)
+    for order, col in ((rfm.RECENCY_ORDER, "r"), (rfm.FREQUENCY_ORDER, "f"), (rfm.MONETARY_ORDER, "m")):
+        want = builtin_ntile(want, 4, order, col)
+    got = rfm.rfm_scores(w.customer_mart, w.params, **options).select("custid", "recency_score", "frequency_score", "monetary_score")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("custid", "r", "f", "m").collect()))
+
+
+def test_rfm_keeps_customers_of_one_id_apart(spark):
+    import datetime as dt
+
+    from pos360.plans import rfm
+
+    cm = spark.createDataFrame([(1, dt.date(2020, 1, d), d, float(d)) for d in (1, 2, 3, 4)],
+                               "custid long, last_transaction_date date, frequency long, monetary double")
+    got = rfm.rfm_scores(cm).orderBy("frequency").collect()
+    assert [(r.recency_score, r.frequency_score, r.monetary_score) for r in got] == [(4, 4, 4), (3, 3, 3), (2, 2, 2), (1, 1, 1)]

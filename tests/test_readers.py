@@ -5,8 +5,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from pos360.operators import quality as q
-from pos360.sources.readers import read_table
+from pos360.sources.readers import audit_unparseable_dates, normalise_text, read_table
 from pos360.sources.schema import ORDERS
 
 CSV = """order_id,Customer_id,product_id,Channel,Delivered_StoreID,Bill_date_timestamp,Quantity,MRP,Cost Per Unit,Discount,Total Amount
@@ -28,5 +30,48 @@ def test_csv_orders_reader(spark, tmp_path):
     assert rows["o3"].quantity is None
     assert rows["o1"].line_no is None  # absent column -> NULL
     # The year filter deletes 2020 and keeps the unparseable date.
-    kept = {r.order_id for r in q.clean_drop_year(df, q.DEFAULT.with_(drop_year=2020)).collect()}
+    kept = {r.order_id for r in q.clean_drop_year(df, q.DEFAULT).collect()}
     assert kept == {"o2", "o3"}
+
+
+def test_headers_in_any_case(spark, tmp_path):
+    p = tmp_path / "orders.csv"
+    head, _, body = CSV.partition("\n")
+    p.write_text(head.lower().replace("total amount", "TOTAL_amount").replace("delivered_storeid", " Delivered StoreID") + "\n" + body)
+    r = read_table(spark, "orders", str(p), fmt="csv").where("order_id = 'o1'").first()
+    assert float(r.total_amount) == 20.01 and float(r.cost_per_unit) == 6.1 and r.delivered_store_id == "s1"
+
+
+def test_missing_and_double_columns_raise(spark, tmp_path):
+    p = tmp_path / "products.csv"
+    p.write_text("product_id\np1\n")
+    with pytest.raises(ValueError, match="category"):
+        read_table(spark, "products", str(p), fmt="csv")
+    p.write_text("product_id,Category,CATEGORY_\np1,a,b\n")
+    with pytest.raises(ValueError, match="both mean"):
+        read_table(spark, "products", str(p), fmt="csv")
+
+
+def test_date_formats_and_their_audit(spark, tmp_path):
+    p = tmp_path / "orders.csv"
+    p.write_text(CSV.replace("2020-03-04 10:00:00", "10/02/2020 14:21"))
+    formats = ("dd/MM/yyyy HH:mm",)
+    df = read_table(spark, "orders", str(p), fmt="csv", date_formats=formats)
+    assert {r.order_id: r.bill_date_timestamp for r in df.collect()}["o1"] == dt.datetime(2020, 2, 10, 14, 21)
+    raw = spark.read.csv(str(p), header=True)
+    assert tuple(audit_unparseable_dates(raw, "Bill_date_timestamp", formats).first()) == (3, 0, 1)
+    assert tuple(audit_unparseable_dates(raw, "Bill_date_timestamp").first()) == (3, 0, 2)
+
+
+def test_normalise_text_is_opt_in(spark):
+    df = spark.createDataFrame([("voucher ", 1), ("UPI", 2), ("other", 3), (None, 4)], "payment_type string, n int")
+    out = normalise_text(df, {"payment_type": ["Voucher", "UPI"]})
+    assert [r.payment_type for r in out.orderBy("n").collect()] == ["Voucher", "UPI", "other", None]
+
+
+def test_parameters_cannot_lose_data():
+    from pos360.params import DEFAULT, RunParams
+
+    assert (DEFAULT.drop_year, DEFAULT.rfm_as_of, DEFAULT.inactive_as_of) == (2020, dt.date(2023, 12, 31), None)
+    with pytest.raises(ValueError):
+        RunParams(rfm_tiles=5)

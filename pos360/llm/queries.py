@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pos360.llm.decontaminate import op8_suffix_array_decontamination
 from pos360.llm.html_extract import op2_tag_path_extraction
+from pos360.llm.oracle import ORACLE
 from pos360.llm.quality_gbt import op3_boosted_tree_quality
 from pos360.llm.quality_rules import op7_risk_controlled_rules
 from pos360.llm.quote_linking import op10_quotation_threads
@@ -30,4 +31,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quotation_threads": op10_quotation_threads,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pos360.llm import textarrays as ta
-from pos360.llm.tables import arrow_rows, read_table, written
+from pos360.llm.tables import pieces, read_table, written
 
 WINDOW_WORDS = 13
 SLICE_BYTES = 32 << 20  # of benchmark text in a task at a time
@@ -129,9 +129,7 @@ def _found(docs: DataFrame, b: Benchmark) -> DataFrame:
     match_type = pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int64()), ("doc_start", pa.int64()), ("length", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in pieces(batches):
             text = batch["text"] if pa.types.is_string(batch["text"].type) else batch["text"].cast(pa.string())
             word, off = lower_words(text)
             n = batch.num_rows
@@ -148,8 +146,7 @@ def _found(docs: DataFrame, b: Benchmark) -> DataFrame:
                         hit[t] = [{"from": x, "to": y} for x, y in edge.reshape(-1, 2).tolist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.diff(off), pa.int64()), pa.array(hit, hit_type), pa.array(matches, match_type)], [*batch.schema.names, "#n_words", "#hit", "#matches"])
 
-    with arrow_rows(docs.sparkSession):
-        return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
@@ -202,5 +199,5 @@ def op8_suffix_array_decontamination(spark, sf_dir: str) -> DataFrame:
     found = contamination(docs, read_table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", F.col("#n_words").alias("n_words"), F.col("#n_hit").alias("n_hit"), F.size("#items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "#items").cast("binary"), 256).alias("items_sha256"), F.col("#contaminated").alias("contaminated"), F.col("#matches").alias("matches"),
+        F.sha2(F.concat_ws(",", "#items").cast("binary"), 256).alias("items_sha256"), F.col("#contaminated").alias("contaminated"),
     )

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pos360.llm.tables import arrow_rows, read_table
+from pos360.llm.tables import pieces, read_table
 
 CUT = 0.5  # paths count as content above this many standard deviations of the smoothed ratios
 HOLDS = 0.9  # share of the content nodes' text that the content element holds at least
@@ -209,13 +209,11 @@ def extract(pages: DataFrame) -> DataFrame:
     schema = rows.drop("html").schema.add("text", "string").add("n_chars", "long")
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            if b.num_rows:
-                texts = [main_text(x) for x in b["html"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+        for b in pieces(batches, "html"):
+            texts = [main_text(x) for x in b["html"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    with arrow_rows(pages.sparkSession, 500):
-        return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def op2_tag_path_extraction(spark, sf_dir: str) -> DataFrame:

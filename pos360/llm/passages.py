@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pos360.llm import textarrays as ta
-from pos360.llm.tables import arrow_rows, partitions
+from pos360.llm.tables import partitions, pieces
 
 FIRST = -(2**63)  # order of a null id: before all others
 U64, _LOW = np.uint64, np.uint64(0xFFFFFFFF)
@@ -232,9 +232,7 @@ def _blocks(docs: DataFrame, rule: Rule, n_blocks: int) -> DataFrame:
     out_schema = T.StructType([T.StructField("block", T.IntegerType()), *[rows.schema[c] for c in ("order", "text", "rest")], T.StructField("marks", T.BinaryType())])
 
     def mark(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in pieces(batches):
             order = np.asarray(b["order"]).astype(float)
             low, high = np.searchsorted(cuts, order, "left"), np.searchsorted(cuts, order, "right")
             block = low + np.asarray(b["row"]) % np.maximum(1, high - low)
@@ -260,9 +258,7 @@ def repeated_passages(
     n_blocks = n_shards = 2 * partitions(spark)
 
     def keys(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in pieces(batches):
             s = rule.symbols(b["text"])
             _, _, anchor, text = unpack_marks(s, b["marks"])
             h, block, order = s.grams(anchor), np.asarray(b["block"])[text], np.asarray(b["order"])[text]
@@ -362,9 +358,8 @@ def repeated_passages(
         per_text = np.split(window - s.offsets[whose], np.cumsum(np.bincount(whose, minlength=left.num_rows))[:-1])
         return finish(left, per_text, s)
 
-    with arrow_rows(spark):
-        blocks = _blocks(docs, rule, n_blocks)
-        sent = blocks.mapInArrow(keys, _ddl(_KEYS)).groupBy("shard").applyInArrow(seen, _ddl(_SEEN))
-        asked = blocks.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(regions, _ddl(_REGIONS))
-        answers = asked.groupBy("shard").applyInArrow(judged, _ddl(_ANSWERS))
-        return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(apply, out_schema)
+    blocks = _blocks(docs, rule, n_blocks)
+    sent = blocks.mapInArrow(keys, _ddl(_KEYS)).groupBy("shard").applyInArrow(seen, _ddl(_SEEN))
+    asked = blocks.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(regions, _ddl(_REGIONS))
+    answers = asked.groupBy("shard").applyInArrow(judged, _ddl(_ANSWERS))
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(apply, out_schema)

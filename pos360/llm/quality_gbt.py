@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pos360.llm.tables import arrow_rows, read_table
+from pos360.llm.tables import pieces, read_table
 from pos360.llm.text_counts import counts
 
 SAMPLE = 20_000
@@ -156,12 +156,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_arrays([b["doc_id"], b["quality"].cast(pa.int32()), *[pa.array(f) for f in features(b["text"]).T]], ["doc_id", "quality", *FEATURES])
+        for b in pieces(batches):
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["quality"].cast(pa.int32()), *[pa.array(f) for f in features(b["text"]).T]], ["doc_id", "quality", *FEATURES])
 
-    with arrow_rows(docs.sparkSession):
-        got = rows.mapInArrow(run, "doc_id long, quality int, " + ", ".join(f"{f} double" for f in FEATURES))
+    got = rows.mapInArrow(run, "doc_id long, quality int, " + ", ".join(f"{f} double" for f in FEATURES))
     # Ids may repeat in the documents; the bound holds for rows as well, in an order that does not depend on the run.
     table = got.orderBy("doc_id", *FEATURES).limit(sample).toArrow()
     x = np.column_stack([np.asarray(table[f]) for f in FEATURES]) if table.num_rows else np.zeros((0, len(FEATURES)))
@@ -173,12 +171,10 @@ def score(docs: DataFrame, forest: Forest, name: str = "score") -> DataFrame:
     schema = T.StructType([*docs.schema, T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(forest.scores(features(b["text"])))], [*b.schema.names, name])
+        for b in pieces(batches):
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(forest.scores(features(b["text"])))], [*b.schema.names, name])
 
-    with arrow_rows(docs.sparkSession):
-        return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pos360.llm.tables import arrow_rows, read_table, written
+from pos360.llm.tables import pieces, read_table, written
 from pos360.llm.text_counts import counts
 
 RISK = 0.05  # share of a stratum's good documents that the cutoffs may remove in all
@@ -86,13 +86,11 @@ def base_counts(docs: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            if b.num_rows:
-                c = counts(b["text"])
-                yield pa.RecordBatch.from_arrays([b["doc_id"], b["stratum"], *[pa.array(c[k], pa.int64()) for k in COUNTED]], ["doc_id", "stratum", *COUNTED])
+        for b in pieces(batches):
+            c = counts(b["text"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["stratum"], *[pa.array(c[k], pa.int64()) for k in COUNTED]], ["doc_id", "stratum", *COUNTED])
 
-    with arrow_rows(docs.sparkSession):
-        return rows.mapInArrow(run, "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTED))
+    return rows.mapInArrow(run, "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTED))
 
 
 def cutoffs(binned: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pos360.llm import textarrays as ta
-from pos360.llm.tables import arrow_rows, read_table
+from pos360.llm.tables import pieces, read_table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
@@ -279,9 +279,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         pieces, cache = shared.value, {}
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in pieces(batches, "#bytes"):
             texts = b["#bytes"].to_pylist()
             ids, at = pieces.encode(texts, cache)
             same = [x == y for x, y in zip(pieces.decode(ids, at), texts)]
@@ -289,8 +287,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL) -> DataFrame:
             own = [c for c in b.schema.names if c != "#bytes"]
             yield pa.RecordBatch.from_arrays([*(b[c] for c in own), pa.array(np.diff(at), pa.int64()), lists, pa.array(same, pa.bool_())], [*own, "n_tokens", "ids", "round_trip"])
 
-    with arrow_rows(spark, 500):
-        return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def decode_ids(tokens: DataFrame, model: str = MODEL) -> DataFrame:
@@ -308,8 +305,7 @@ def decode_ids(tokens: DataFrame, model: str = MODEL) -> DataFrame:
             null = np.asarray(b["ids"].is_null())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([None if n else t for n, t in zip(null, text)], pa.string())], [*b.schema.names, "text"])
 
-    with arrow_rows(spark, 500):
-        return tokens.mapInArrow(run, T.StructType([*tokens.schema, T.StructField("text", T.StringType())]))
+    return tokens.mapInArrow(run, T.StructType([*tokens.schema, T.StructField("text", T.StringType())]))
 
 
 def op5_sentencepiece_unigram(spark, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pos360.llm import textarrays as ta
-from pos360.llm.tables import arrow_rows, partitions, read_table, written
+from pos360.llm.tables import pieces, read_table, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -88,12 +88,10 @@ def with_fingerprint(docs: DataFrame, k: int = SHINGLE_WORDS, name: str = "finge
     schema = T.StructType([*docs.schema, T.StructField(name, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fingerprints_of(b["text"], k).view(np.int64))], [*b.schema.names, name])
+        for b in pieces(batches):
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fingerprints_of(b["text"], k).view(np.int64))], [*b.schema.names, name])
 
-    with arrow_rows(docs.sparkSession):
-        return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 _FLIPS = np.array([0, *(1 << i for i in range(16)), *((1 << i) | (1 << j) for i, j in combinations(range(16), 2))], np.int64)
@@ -204,13 +202,22 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, max_bits: int = MAX
 
 
 def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of every group stays: that with the smallest id, the first read if ids repeat."""
+    """One row of every group stays: that with the smallest id, the first read if ids repeat.
+
+    With ids that are present and unique the rows to drop are known by id, and
+    the texts are only filtered. Else the rows are numbered and written first,
+    so that rows of one id can be told apart."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    prints = written(with_fingerprint(ids, k).drop("text"), "simhash")
+    counted = prints.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("doc_id").alias("ids")).head()
+    if counted["rows"] == counted["ids"]:
+        gone = groups(prints, max_bits).where("component_id <> doc_id").select(F.col("doc_id").alias("#gone"))
+        return docs.join(gone, docs["doc_id"].cast("long") == gone["#gone"], "left_anti")
     numbered = written(with_fingerprint(docs.withColumn("#row", F.monotonically_increasing_id()), k, "#fingerprint"), "simhash-docs")
-    prints = numbered.select("#row", F.col("doc_id").cast("long").alias("doc_id"), F.col("#fingerprint").alias("fingerprint"))
     # Groups are numbered by their smallest row here: it is never null and never shared.
-    grouped = groups(prints.withColumnRenamed("doc_id", "id").withColumnRenamed("#row", "doc_id"), max_bits)
+    rows = numbered.select(F.col("#row").alias("doc_id"), F.col("doc_id").cast("long").alias("id"), F.col("#fingerprint").alias("fingerprint"))
     first = Window.partitionBy("component_id").orderBy(F.col("id").asc_nulls_last(), "doc_id")
-    keep = grouped.withColumn("rank", F.row_number().over(first)).where("rank = 1").select(F.col("doc_id").alias("#row"))
+    keep = groups(rows, max_bits).withColumn("rank", F.row_number().over(first)).where("rank = 1").select(F.col("doc_id").alias("#row"))
     return numbered.join(keep, "#row", "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
 
 

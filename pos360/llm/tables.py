@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import contextlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pos360.session import shared_path
 
-# Rows handed to Python at a time; texts may be long, so far fewer than the default of Spark.
-ARROW_ROWS = 500
+# Text bytes that a Python task works on at a time.
+PIECE_BYTES = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,24 +41,18 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-@contextlib.contextmanager
-def arrow_rows(spark: SparkSession, n: int = ARROW_ROWS) -> Iterator[None]:
-    """Plans that are made inside hand at most n rows at a time to Python."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
-def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """mapInArrow with a function of one batch."""
-
-    def run(batches):
-        for b in batches:
-            if b.num_rows and (out := f(b)) is not None:
-                yield out
-
-    return df.mapInArrow(run, schema)
+def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about `size` bytes in a column (a longer text alone).
+
+    Spark's batches are counted in rows; the arrays that a text is taken apart
+    into are many times its size, so memory follows the bytes of a slice."""
+    for b in batches:
+        length = pc.fill_null(pc.binary_length(b[column]), 0).to_numpy(zero_copy_only=False)
+        start = total = 0
+        for i, n in enumerate(length.tolist()):
+            if total and total + n > size:
+                yield b.slice(start, i - start)
+                start, total = i, 0
+            total += n
+        if start < b.num_rows:
+            yield b.slice(start)

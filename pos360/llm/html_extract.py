@@ -35,7 +35,7 @@ NOT_ARTICLE = frozenset("nav header footer aside form script style noscript temp
 NOT_ARTICLE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay "
     "newsletter subscribe subscription signup login menu menus nav navbar navigation breadcrumb breadcrumbs pagination sidebar sidebars aside widget widgets related "
-    "recommended share sharing social comment comments reply replies respond disqus discussion footer header masthead toolbar search form complementary contentinfo".split()
+    "recommended share sharing social comment comments reply replies respond responses disqus discussion footer header masthead toolbar search form complementary contentinfo".split()
 )
 CLOSES = {"p": frozenset("p".split()), "li": frozenset(["li"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "tr": frozenset(["tr", "td", "th"]), "dd": frozenset(["dd", "dt"]), "dt": frozenset(["dd", "dt"]), "option": frozenset(["option"])}
 #: An element that an implied end must not reach over.
@@ -43,6 +43,7 @@ FENCE = frozenset("article aside body div footer form header html main nav ol se
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.DOTALL)
 _NAMED = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none", re.IGNORECASE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?。、，；：！？…]")
 _SPACE = re.compile(r"\s+")
@@ -75,6 +76,8 @@ class Page:
 def _names_other(tag: str, attributes: str) -> bool:
     if tag in ("html", "body"):
         return False
+    if _HIDDEN.search(attributes):
+        return True
     for found in _NAMED.finditer(attributes):
         for name in _SPACE.split(html.unescape(next(g for g in found.groups() if g is not None))):
             words = [w.lower() for w in _WORD.findall(name)]

@@ -16,7 +16,7 @@ MENU = "".join(f'<li><a href="/{i}">Entry {i}</a></li>' for i in range(30))
     f"<body class='has-sidebar'><header><h2>Site</h2></header><main><div>{ARTICLE}</div><section id='comments'><h3>Comments</h3><p>Great post, I like it. Thanks, really!</p></section></main>",
     f"<div class='cookie-notice'>We use cookies, as all do. Agree, please.</div><article>{ARTICLE}<form><label>Mail</label><input name=a></form><div class='ad-slot'>Buy, buy, buy! Now.</div></article>",
     f"<article><script>if (a < b) document.write('<p>no, no. no</p>')</script><style>p {{ margin: 0 }}</style><!-- <p>gone, gone.</p> -->{ARTICLE}</article>",
-    f"<ARTICLE CLASS=story>{ARTICLE}<ASIDE><P>Aside, aside. Aside!</P></ASIDE><p hidden>Not, shown. At all.</p><div style="display: none">Nor, this.</div></ARTICLE><div role=contentinfo>Imprint, address. And more.</div>",
+    f"<ARTICLE CLASS=story>{ARTICLE}<ASIDE><P>Aside, aside. Aside!</P></ASIDE><p hidden>Not, shown. At all.</p><div style='display: none'>Nor, this.</div></ARTICLE><div role=contentinfo>Imprint, address. And more.</div>",
 ])
 def test_known_articles(page):
     assert main_text(page) == WANT

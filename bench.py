@@ -96,7 +96,7 @@ def main() -> None:
     results["rfm_scores_builtin_ntile"] = round(_time(
         lambda: builtin_scores(Workspace(spark, raw=inputs, params=FIXTURE_PARAMS).customer_mart)), 3)
 
-    w = Workspace(spark, raw=inputs, params=FIXTURE_PARAMS)
+    w = Workspace(spark, raw=inputs, params=FIXTURE_PARAMS, write_clean_orders=True)
     t = time.perf_counter()
     marts = {
         "customer": write_and_read(w.customer_mart, "bench-customer-mart"),

@@ -38,8 +38,8 @@ class Workspace:
         self._raw = raw
         self._marts = marts or {}
         # Reports are lazy plans, pruned to the columns they need, or read the
-        # marts given here. A run that builds several marts may have the
-        # cleaned order lines written once for them.
+        # marts given here. Where a mart itself is the result, the cleaned
+        # order lines are written once for its several reads.
         self.write_clean_orders = write_clean_orders
 
     @cached_property
@@ -106,6 +106,12 @@ class Workspace:
         return rfm.rfm_segments(self.customer_mart, self.params)
 
 
+    def building(self) -> "Workspace":
+        """This workspace, with the cleaned lines written once: a mart as a
+        result reads them several times."""
+        return Workspace(self.spark, self.sf_dir, self.params, raw=self.raw, marts=self._marts, write_clean_orders=True)
+
+
 Query = Callable[[Workspace], DataFrame]
 
 _REGISTRY: dict[str, Query] = {
@@ -138,14 +144,14 @@ _REGISTRY: dict[str, Query] = {
     # T1-T3
     "customer_payment_summary": lambda w: customer_payment_summary(w.clean, w.params),
     "customer_behaviour": lambda w: customer_behaviour(w.clean_written, w.params),
-    "customer_level_360": lambda w: w.customer_mart,
+    "customer_level_360": lambda w: w.building().customer_mart,
     "top1_payment_per_order": lambda w: best_payment(w.clean.payments),
     "order_level_360": lambda w: order_level_360(w.clean, w.params),
     "order_level_enriched": lambda w: w.order_mart,
     "store_top_product": lambda w: store_top_product(w.clean.orders),
     "store_top_customer": lambda w: store_top_customer(w.clean.orders),
     "store_top_payment": lambda w: store_top_payment(w.clean.orders, w.clean.payments),
-    "store_level_360": lambda w: w.store_mart,
+    "store_level_360": lambda w: w.building().store_mart,
     # Q01-Q21
     "kpi_customers": lambda w: kpi.kpi_customers(w.customer_mart),
     "kpi_orders": lambda w: kpi.kpi_orders(w.order_mart),
@@ -208,9 +214,9 @@ _REGISTRY.update({
     "audit_amount_mismatch_corrected": lambda w: q.audit_amount_mismatch(
         w.orders_rounded, q.clean_payment_duplicates(w.payments_rounded), CORRECTED_PARAMS),
     "clean_orders_corrected": lambda w: q.clean_orders(w.raw.orders, CORRECTED_PARAMS),
-    "customer_level_360_corrected": lambda w: _corrected(w).customer_mart,
+    "customer_level_360_corrected": lambda w: _corrected(w).building().customer_mart,
     "order_level_enriched_corrected": lambda w: _corrected(w).order_mart,
-    "store_level_360_corrected": lambda w: _corrected(w).store_mart,
+    "store_level_360_corrected": lambda w: _corrected(w).building().store_mart,
     "rfm_segments_corrected": lambda w: _corrected(w).segments,
     "new_customer_revenue_by_month_corrected": lambda w: trends.new_customer_revenue_by_month(
         _corrected(w).order_mart, CORRECTED_PARAMS),

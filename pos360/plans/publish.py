@@ -19,6 +19,7 @@ ORDER_PARTITION = "order_year"
 
 
 def publish_marts(w: Workspace, base_path: str) -> dict[str, str]:
+    w = w.building()
     base = base_path.rstrip("/")
     paths = {name: f"{base}/{name}" for name in MART_NAMES}
     w.customer_mart.write.mode("overwrite").parquet(paths["customer_level_360"])

@@ -62,3 +62,15 @@ def test_lines_are_scanned_twice_at_most(spark, no_aqe, key):
     scans = [n for n in nodes if n["class"].endswith("FileSourceScanExec") and "l_quantity" in json.dumps(n["output"])]
     reused = [n for n in nodes if n["class"].endswith("ReusedExchangeExec")]
     assert len(scans) <= 2 and reused
+
+
+MARTS = ("customer_level_360", "store_level_360", "customer_level_360_corrected", "store_level_360_corrected")
+
+
+@pytest.mark.parametrize("key", [k for k in KEYS if k not in MARTS and k not in RFM])
+def test_reports_write_nothing(spark, monkeypatch, key):
+    def refuse(*_):
+        raise AssertionError(f"{key} writes a table")
+
+    monkeypatch.setattr("pos360.plans.catalog.write_and_read", refuse)
+    run(key, Workspace(spark, SF_DIR))

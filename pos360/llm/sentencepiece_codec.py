@@ -278,11 +278,11 @@ def encode_texts(docs: DataFrame, model: str = MODEL) -> DataFrame:
     schema = T.StructType(list(docs.schema)).add("n_tokens", "long").add("ids", T.ArrayType(T.IntegerType())).add("round_trip", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]):
-        pieces, cache = shared.value, {}
+        coder, cache = shared.value, {}
         for b in pieces(batches, "#bytes"):
             texts = b["#bytes"].to_pylist()
-            ids, at = pieces.encode(texts, cache)
-            same = [x == y for x, y in zip(pieces.decode(ids, at), texts)]
+            ids, at = coder.encode(texts, cache)
+            same = [x == y for x, y in zip(coder.decode(ids, at), texts)]
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))
             own = [c for c in b.schema.names if c != "#bytes"]
             yield pa.RecordBatch.from_arrays([*(b[c] for c in own), pa.array(np.diff(at), pa.int64()), lists, pa.array(same, pa.bool_())], [*own, "n_tokens", "ids", "round_trip"])

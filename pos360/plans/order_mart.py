@@ -52,17 +52,31 @@ def _customer_attributes(customers: DataFrame) -> DataFrame:
     )
 
 
+def _spread(lines: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Join keys ``__key`` as text. A NULL key finds nothing; it is replaced by
+    a hash of its line, so that lines without one (all guests have no
+    customer number) spread over all tasks instead of meeting in one."""
+    own = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in lines.columns]).cast("string"))
+    return lines.withColumns({f"__{k}": F.coalesce(F.col(k).cast("string"), own) for k in keys})
+
+
+def _look_up(lines: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    d = dim.withColumn("__dim", F.col(key).cast("string")).drop(key)
+    return lines.join(d, (lines[f"__{key}"] == d["__dim"]) & lines[key].isNotNull(), "left").drop("__dim")
+
+
 def _joined_lines(clean: Tables, params: RunParams, enriched: bool) -> DataFrame:
     store = one_store(clean.stores).withColumnRenamed("store_id", "delivered_store_id")
-    lines = (
-        clean.orders.withColumn("custid", numeric_id("customer_id"))
-        .join(best_payment(clean.payments), "order_id", "left")
-        .join(best_review(clean.reviews), "order_id", "left")
-        .join(one_product(clean.products), "product_id", "left")
-        .join(store, "delivered_store_id", "left")
+    lines = _spread(
+        clean.orders.withColumn("custid", numeric_id("customer_id")),
+        ("order_id", "product_id", "delivered_store_id", "custid"),
     )
+    lines = _look_up(lines, best_payment(clean.payments), "order_id")
+    lines = _look_up(lines, best_review(clean.reviews), "order_id")
+    lines = _look_up(lines, one_product(clean.products), "product_id")
+    lines = _look_up(lines, store, "delivered_store_id")
     if enriched:
-        lines = lines.join(_customer_attributes(clean.customers), "custid", "left")
+        lines = _look_up(lines, _customer_attributes(clean.customers), "custid")
     if params.corrected:
         discount, score = F.col("discount"), F.col("score")
     else:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pos360.functions.columns import exact_avg, float_avg
 from pos360.operators.ranking import top1_per_key
 from pos360.params import DEFAULT, RunParams
 from pos360.plans.order_mart import one_product, one_store
@@ -58,63 +57,80 @@ def store_top_payment(orders: DataFrame, payments: DataFrame) -> DataFrame:
     return top1_per_key(per, ["store_id"], [("payment_count", False), ("payment_type", True)])
 
 
+def _first(*order: Column) -> Column:
+    """Smallest of ordering columns as a struct: a pick that combines map-side."""
+    return F.min(F.struct(*order))
+
+
+def _side_by_side(frames: list[DataFrame]) -> DataFrame:
+    """Store-grain frames joined on the store id, where NULL is a store of its own."""
+    out = frames[0]
+    for f in frames[1:]:
+        other = f.withColumnRenamed("store_id", "__store")
+        out = out.join(other, out["store_id"].eqNullSafe(other["__store"]), "left").drop("__store")
+    return out
+
+
 def store_level_360(clean: Tables, params: RunParams = DEFAULT) -> DataFrame:
-    """The lines joined with store location, product category and
-    review, aggregated per store location (plain aggregates and distinct
-    counts as two aggregates), then the three per-store top-1 picks.
-
-    The original groups by the picks too; they are one row per store, so
-    joining them after the aggregate gives the same rows with a store-grain
-    join instead of a line-grain one."""
-    orders = clean.orders
+    """Per store location, sums, distinct counts, mean review and the three top picks.
+
+    Nothing is joined at line grain but the number of product rows per id.
+    One aggregate by (store, product) serves the sums, products, categories and
+    the top product; one by (store, customer) the customers; one by (store,
+    day) the days; one by (order, store) the reviews. A product id that repeats
+    multiplies its lines in the original, which the (store, product) rows repeat
+    and the review weights count. Locations are attached to the finished stores."""
     if params.corrected:
         stores, products = one_store(clean.stores), one_product(clean.products)  # D13
         profit = F.col("profit")  # D11
     else:
         stores, products = clean.stores, clean.products.select("product_id", "category")
         profit = (F.col("mrp") - F.col("cost_per_unit")) * F.col("quantity")
-    lines = (
-        orders.join(stores.withColumnRenamed("store_id", "delivered_store_id"), "delivered_store_id", "left")
-        .join(products, "product_id", "left")
-        .join(clean.reviews.select("order_id", "score"), "order_id", "left")
-        .withColumn("__profit", profit)
-    )
     day = F.to_date("bill_date_timestamp")
-    group = [F.col("delivered_store_id").alias("store_id"), "seller_city", "seller_state", "region"]
-    keys = ["store_id", "seller_city", "seller_state", "region"]
-    # Plain aggregates and distinct counts as two aggregates (see
-    # customer_behaviour); the store-grain join is NULL-safe because the
-    # location of an unknown store is NULL.
-    plain = lines.groupBy(*group).agg(
-        F.count("order_id").alias("total_transactions"),
-        F.sum("quantity").alias("total_quantity_sold"),
-        F.sum("total_amount").alias("total_sales"),
-        exact_avg("discount").alias("average_discount"),
-        F.sum("__profit").alias("total_profit"),
-        F.count_if(F.col("discount") > 0).alias("transactions_with_discount"),
-        F.count_if(F.col("__profit") < 0).alias("transactions_with_loss"),
-        float_avg("score").alias("average_customer_satisfaction"),
-        F.max(day).alias("max_transaction_date"),
-        F.min(day).alias("min_transaction_date"),
+    lines = clean.orders.withColumnRenamed("delivered_store_id", "store_id").withColumn("__profit", profit)
+
+    per_product = lines.groupBy("store_id", "product_id").agg(
+        F.count("order_id").alias("__lines"), F.sum("quantity").alias("__quantity"), F.sum("total_amount").alias("__sales"),
+        F.sum("discount").alias("__discount"), F.count("discount").alias("__discounts"), F.sum("__profit").alias("__gain"),
+        F.count_if(F.col("discount") > 0).alias("__reduced"), F.count_if(F.col("__profit") < 0).alias("__losses"),
+        F.max(day).alias("__last"), F.min(day).alias("__first"),
     )
-    distinct = lines.groupBy(*group).agg(
-        F.count_distinct("customer_id").alias("distinct_customers_visited"),
+    sold = F.col("__quantity")
+    goods = per_product.join(products, "product_id", "left").groupBy("store_id").agg(
+        F.sum("__lines").alias("total_transactions"),
+        F.sum(sold).alias("total_quantity_sold"),
+        F.sum("__sales").alias("total_sales"),
+        F.try_divide(F.sum("__discount").cast("double"), F.sum("__discounts").cast("double")).alias("average_discount"),
+        F.sum("__gain").alias("total_profit"),
+        F.sum("__reduced").alias("transactions_with_discount"),
+        F.sum("__losses").alias("transactions_with_loss"),
+        F.max("__last").alias("max_transaction_date"),
+        F.min("__first").alias("min_transaction_date"),
         F.count_distinct("product_id").alias("distinct_products_sold"),
         F.count_distinct("category").alias("distinct_categories_sold"),
-        F.count_distinct(day).alias("active_days"),
-    )
-    d = distinct.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in distinct.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = plain[k].eqNullSafe(d[f"__{k}"])
-        cond = c if cond is None else cond & c
-    agg = plain.join(d, cond).drop(*[f"__{k}" for k in keys])
-    top_product = store_top_product(orders).select("store_id", F.col("product_id").alias("highest_selling_product"))
-    top_customer = store_top_customer(orders).select("store_id", F.col("customer_id").alias("most_frequent_customer"))
-    top_payment = store_top_payment(orders, clean.payments).select(
-        "store_id", F.col("payment_type").alias("most_common_payment_type")
+        _first(sold.isNull(), -sold, F.col("product_id").alias("product_id")).alias("__product"),
+    ).withColumn("highest_selling_product", F.col("__product.product_id")).drop("__product")
+    people = (
+        lines.groupBy("store_id", "customer_id").agg(F.count("order_id").alias("__n"))
+        .groupBy("store_id")
+        .agg(F.count("customer_id").alias("distinct_customers_visited"),
+             _first(-F.col("__n"), F.col("customer_id").alias("customer_id")).alias("__customer"))
+        .select("store_id", "distinct_customers_visited", F.col("__customer.customer_id").alias("most_frequent_customer"))
     )
-    out = agg.join(top_product, "store_id", "left").join(top_customer, "store_id", "left").join(
-        top_payment, "store_id", "left"
+    days = lines.select("store_id", day.alias("__day")).distinct().groupBy("store_id").agg(F.count("__day").alias("active_days"))
+    copies = products.groupBy("product_id").agg(F.count(F.lit(1)).alias("__copies"))
+    mood = (
+        lines.where(F.col("order_id").isNotNull()).join(copies, "product_id", "left")
+        .groupBy("order_id", "store_id").agg(F.sum(F.coalesce("__copies", F.lit(1))).alias("__weight"))
+        .join(clean.reviews.where(F.col("score").isNotNull()).select("order_id", "score"), "order_id")
+        .groupBy("store_id")
+        .agg(F.round(F.sum(F.col("__weight") * F.col("score")) / F.sum("__weight"), 9).alias("average_customer_satisfaction"))
     )
-    return out.select(*STORE_MART_COLUMNS)
+    top_payment = store_top_payment(clean.orders, clean.payments).select(
+        "store_id", F.col("payment_type").alias("most_common_payment_type"))
+    # The original joins the payments' pick by an equal store id: a line without a store has none of the three picks.
+    known = F.col("store_id").isNotNull()
+    out = _side_by_side([goods, people, days, mood, top_payment]).withColumns({
+        c: F.when(known, F.col(c)) for c in ("highest_selling_product", "most_frequent_customer", "most_common_payment_type")
+    })
+    return out.join(stores, "store_id", "left").select(*STORE_MART_COLUMNS)

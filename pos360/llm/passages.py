@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pos360.llm import textarrays as ta
-from pos360.llm.tables import partitions, pieces
+from pos360.llm.tables import give_back, partitions, pieces
 
 FIRST = -(2**63)  # order of a null id: before all others
 U64, _LOW = np.uint64, np.uint64(0xFFFFFFFF)
@@ -304,6 +304,7 @@ def repeated_passages(
     def regions(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _REGIONS.empty_table()
+        give_back()
         s, first, count, anchor, text, order = runs(left)
         h = s.grams(anchor)
         shard = _shard_of(h, n_shards)
@@ -329,11 +330,13 @@ def repeated_passages(
 
     def judged(table: pa.Table) -> pa.Table:
         out = [(block, a) for block, a in judge(unpacked(table)) if len(a)]
+        give_back()
         return pa.table([pa.array([b for b, _ in out], pa.int32()), pa.array([a.tobytes() for _, a in out], pa.binary())], schema=_ANSWERS)
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table({"_": pa.array([])}).slice(0, 0)
+        give_back()
         s, first, count, _, text, order = runs(left)
         pos = first - s.offsets[text]
         r = region_hash(s, first, count)

@@ -83,14 +83,18 @@ def replies(messages: DataFrame) -> DataFrame:
 
 
 def threads(links: DataFrame) -> DataFrame:
-    """links with root_turn and reply_depth, by pointer jumping: rounds grow with the logarithm of the deepest thread."""
-    jump = written(links.select("conv_id", "turn", F.coalesce("parent_turn", "turn").alias("up"), F.col("parent_turn").isNotNull().cast("int").alias("steps")), "threads")
-    while True:
-        above = jump.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("top"), F.col("steps").alias("more"))
-        new = written(jump.join(above, ["conv_id", "up"]).select("conv_id", "turn", F.col("top").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), (F.col("top") != F.col("up")).alias("moved")), "threads")
-        jump = new.drop("moved")
-        if new.where("moved").isEmpty():
-            return links.join(jump.select("conv_id", "turn", F.col("up").alias("root_turn"), F.col("steps").alias("reply_depth")), ["conv_id", "turn"])
+    """links with root_turn and reply_depth, by pointer jumping.
+
+    Rounds grow with the logarithm of the deepest thread, and a message leaves
+    them as soon as it points at a root, so one deep thread does not make all
+    others travel again."""
+    reply = F.col("parent_turn").isNotNull()
+    jump = written(links.select("conv_id", "turn", F.coalesce("parent_turn", "turn").alias("up"), reply.cast("int").alias("steps"), (~reply).alias("done")), "threads")
+    while not jump.where("not done").isEmpty():
+        above = jump.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("top"), F.col("steps").alias("more"), F.col("done").alias("ends"))
+        moved = jump.where("not done").join(above, ["conv_id", "up"]).select("conv_id", "turn", F.col("top").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), F.col("ends").alias("done"))
+        jump = written(jump.where("done").unionByName(moved), "threads")
+    return links.join(jump.select("conv_id", "turn", F.col("up").alias("root_turn"), F.col("steps").alias("reply_depth")), ["conv_id", "turn"])
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNKNOWN_PENALTY = 10.0
-CACHED_SEGMENTS = 1 << 20  # of a task; a full cache is emptied
+CACHED_SEGMENTS = 1 << 19  # of a task; a full cache is emptied
 _LOCKSTEP_BYTES = 256  # longer segments are walked one by one
 
 
@@ -173,8 +173,8 @@ class PieceModel:
         ids.append(np.full(len(alone), self.unknown))
         return np.concatenate(starts), np.concatenate(ends), np.concatenate(ids)
 
-    def encode_segments(self, segments: list[bytes]) -> list[list[int]]:
-        """Piece ids of each segment (spaces stand for the marker)."""
+    def encode_segments(self, segments: list[bytes]) -> list[bytes]:
+        """Piece ids of each segment (spaces stand for the marker), as 32-bit numbers."""
         marked = [s.replace(b" ", MARK) for s in segments]
         off = np.zeros(len(marked) + 1, np.int64)
         np.cumsum([len(s) for s in marked], out=off[1:])
@@ -214,7 +214,7 @@ class PieceModel:
             go = ~first[edge]
             who, at = who[go], start[edge[go]]
         if not owners:
-            return [[] for _ in segments]
+            return [b"" for _ in segments]
         owner, edge = np.concatenate(owners[::-1]), np.concatenate(edges[::-1])
         by = np.argsort(owner, kind="stable")
         owner, edge = owner[by], edge[by]
@@ -222,11 +222,11 @@ class PieceModel:
         n = np.where(uncovered, end[edge] - start[edge], 1)
         index = np.arange(n.sum()) - np.repeat(np.append(0, np.cumsum(n)[:-1]), n)
         source = np.repeat(edge, n)
-        ids = np.where(np.repeat(uncovered, n), self.byte_piece[buf[np.minimum(start[source] + index, len(buf) - 1)]], np.minimum(piece[source], self.unknown - 1)).tolist()
-        cut = np.searchsorted(np.repeat(owner, n), np.arange(len(segments) + 1)).tolist()
+        ids = np.where(np.repeat(uncovered, n), self.byte_piece[buf[np.minimum(start[source] + index, len(buf) - 1)]], np.minimum(piece[source], self.unknown - 1)).astype(np.int32).tobytes()
+        cut = (4 * np.searchsorted(np.repeat(owner, n), np.arange(len(segments) + 1))).tolist()
         return [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
 
-    def encode(self, texts: list[bytes], cache: dict[bytes, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[bytes], cache: dict[bytes, bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(piece ids of all texts, offsets). Segments are looked up in, and added to, the cache."""
         prefix = b" " if self.dummy_prefix else b""
         split = [self.segment.findall(prefix + t.replace(MARK, b" ")) if t else [] for t in texts]
@@ -237,13 +237,10 @@ class PieceModel:
         for a in range(0, len(fresh), 1 << 16):
             part = fresh[a : a + (1 << 16)]
             cache.update(zip(part, self.encode_segments(part)))
-        ids: list[int] = []
-        at = [0]
-        for one in split:
-            for s in one:
-                ids += cache[s]
-            at.append(len(ids))
-        return np.array(ids, np.int32), np.array(at, np.int64)
+        packed = [b"".join([cache[s] for s in one]) for one in split]
+        at = np.zeros(len(packed) + 1, np.int64)
+        np.cumsum([len(p) // 4 for p in packed], out=at[1:])
+        return np.frombuffer(b"".join(packed), np.int32), at
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> list[bytes]:
         """Texts of the pieces: markers become spaces, the dummy prefix goes, byte pieces become bytes."""

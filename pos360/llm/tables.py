@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -41,6 +43,14 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def give_back() -> None:
+    """Return this worker's freed memory to the system: a worker waits for its
+    next task with all that its largest arrays once took."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about `size` bytes in a column (a longer text alone).
 
@@ -56,3 +66,4 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", size: int =
             total += n
         if start < b.num_rows:
             yield b.slice(start)
+        give_back()

@@ -5,8 +5,10 @@ root. Over all nodes of a path their text and punctuation are added up; text a
 node and punctuation a node are fused into one ratio per path. The ratios, laid
 along the page and smoothed, are cut at a share of their standard deviation.
 The nodes above select the content element: the deepest that holds nearly all
-of their text. What stands in it is the article, apart from what HTML or its
-classes name as something else (menus, forms, adverts, comments, ...)."""
+of their text, or the article or main around it. What stands in it is the
+article, and so is what stands outside it on a path above the cut, and the
+headings before that, apart from what HTML or its classes name as something
+else (menus, forms, adverts, comments, ...)."""
 
 from __future__ import annotations
 
@@ -40,6 +42,10 @@ NOT_ARTICLE_WORDS = frozenset(
 CLOSES = {"p": frozenset("p".split()), "li": frozenset(["li"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "tr": frozenset(["tr", "td", "th"]), "dd": frozenset(["dd", "dt"]), "dt": frozenset(["dd", "dt"]), "option": frozenset(["option"])}
 #: An element that an implied end must not reach over.
 FENCE = frozenset("article aside body div footer form header html main nav ol section table ul dl td th blockquote".split())
+#: Parts of an article, never all of it: the content element is the one around them.
+PARTS = frozenset("section table ul ol dl blockquote".split())
+PAGE = frozenset("#root html body".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.DOTALL)
 _NAMED = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -186,17 +192,36 @@ def main_text(source: str) -> str:
             e = page.elements[e].parent
     need = HOLDS * page.elements[0].weight
     root = max((i for i, e in enumerate(page.elements) if e.weight >= need), key=lambda i: (page.elements[i].depth, -i))
-    while page.elements[root].tag not in FENCE and root:
-        root = page.elements[root].parent
-    whole = page.elements[root].tag not in ("#root", "html", "body")
-    holders = {n.element for n in content} | {page.elements[n.element].parent for n in content}
+    at = root
+    while page.elements[at].tag not in PAGE:
+        if page.elements[at].tag in FENCE:
+            root = at
+            if page.elements[at].tag not in PARTS:
+                break
+        at = page.elements[at].parent
+    if page.elements[root].tag not in FENCE:
+        root = at
+    # An article or main with content is kept whole, the outermost of them; elements stand after their parents.
+    whole = [e.tag in ("article", "main") and e.weight > 0 or i == root and e.tag not in PAGE for i, e in enumerate(page.elements)]
+    for i, e in enumerate(page.elements[1:], 1):
+        whole[i] |= whole[e.parent]
+    passed = {n.block for n in content}
+    # Where no element but the page holds the content, what stands beside it belongs to it.
+    beside = {e for n in content for e in (n.element, page.elements[n.element].parent)} if page.elements[root].tag in PAGE else set()
+    keep, follows = [], False
+    for n in reversed(nodes):
+        e = page.elements[n.element]
+        heading = e.tag in HEADINGS
+        kept = whole[n.element] or n.block in passed or n.element in beside or e.parent in beside or heading and follows
+        if not n.text.strip():
+            kept |= follows
+        elif not heading or kept:
+            follows = kept
+        if kept:
+            keep.append(n)
     parts: dict[int, list[str]] = {}
-    for n in nodes:
-        e = n.element
-        while e >= 0 and e != root:
-            e = page.elements[e].parent
-        if e == root and (whole or n.element in holders or page.elements[n.element].parent in holders):
-            parts.setdefault(n.block, []).append(n.text)
+    for n in reversed(keep):
+        parts.setdefault(n.block, []).append(n.text)
     blocks = (_SPACE.sub(" ", "".join(p)).strip() for p in parts.values())
     return "\n".join(b for b in blocks if b)
 

@@ -30,6 +30,28 @@ def test_odd_pages(page, text):
     assert main_text(page) == text
 
 
+LONG = "A sentence of some length, with marks. And another of them, as long as this. " * 6
+
+
+@pytest.mark.parametrize("page, text", [
+    # title and introduction above the element with the body
+    ("<body><article><h1>Title</h1><p>intro</p><div class='entry-content'>{b}</div></article></body>", "Title\nintro\n{t}"),
+    ("<main><h1>Title</h1><section><p>intro</p></section><div><div>{b}</div></div><p>end</p></main>", "Title\nintro\n{t}\nend"),
+    # one part holds nearly all
+    ("<article><h1>Title</h1><p>intro</p><table><tr><td>{b}</td></tr></table><p>end</p></article>", "Title\nintro\n{t}\nend"),
+    ("<article><h1>Title</h1><p>intro</p><section>{b}</section><p>end</p></article>", "Title\nintro\n{t}\nend"),
+    ("<body><div><h1>Title</h1><p>intro</p><blockquote>{b}</blockquote><p>end</p></div></body>", "Title\nintro\n{t}\nend"),
+    ("<body><div><h1>Title</h1><p>intro</p><ul><li>{b}</li></ul><p>end</p></div></body>", "Title\nintro\n{t}\nend"),
+    # no wrapper: by the ratio of the path, headings with what they stand above
+    ("<body><div>x</div><div><a>y</a></div><h1>Title</h1><p>Intro, a line of it, and more. Yes.</p><div>{b}</div></body>", "Title\nIntro, a line of it, and more. Yes.\n{t}"),
+    ("<body><h1>Title</h1><center><table><tr><td>{b}</td></tr></table></center></body>", "Title\n{t}"),
+    ("<article><h1>One</h1>{b}<ul><li>a</ul></article><article><h1>Two</h1>{b}</article>", "One\n{t}\na\nTwo\n{t}"),
+])
+def test_what_stands_outside_the_densest_element(page, text):
+    body = f"<p>{LONG}</p>" * 12
+    assert main_text(page.format(b=body)) == text.format(t="\n".join([LONG.strip()] * 12))
+
+
 def test_nested_cells_and_lists_are_blocks():
     assert main_text("<article><p>Text, text. Text, text.</p><ul><li>one<li>two</ul><table><tr><td>a<td>b<tr><td>c</table></article>") == "Text, text. Text, text.\none\ntwo\na\nb\nc"
 

@@ -8,7 +8,9 @@ The nodes above select the content element: the deepest that holds nearly all
 of their text, or the article or main around it. What stands in it is the
 article, and so is what stands outside it on a path above the cut, and the
 headings before that, apart from what HTML or its classes name as something
-else (menus, forms, adverts, comments, ...)."""
+else (menus, forms, adverts, comments, ...). A name that only holds such a word
+bars an element when its paths are sparse, and none bars the element that has
+the page's content."""
 
 from __future__ import annotations
 
@@ -32,7 +34,7 @@ KERNEL = np.array([0.25, 0.5, 0.25])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
-NOT_ARTICLE = frozenset("nav header footer aside form script style noscript template button select textarea iframe svg canvas object head title menu dialog".split())
+NOT_ARTICLE = frozenset("nav header footer aside script style noscript template button select textarea iframe svg canvas object head title menu dialog".split())
 #: Words in class, id or role that name something else than the article.
 NOT_ARTICLE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay "
@@ -48,12 +50,18 @@ PAGE = frozenset("#root html body".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.DOTALL)
-_NAMED = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?。、，；：！？…]")
 _SPACE = re.compile(r"\s+")
-_KEEP_NAMES = frozenset(["has", "with", "no", "without"])
+#: Words that make a name say what else is on the page, or in which state it is.
+_KEEP_NAMES = frozenset("has have with no non not without hide show".split())
+_STATES = frozenset("open opened opening closed fixed sticky static enabled disabled active inactive visible invisible collapsed expanded allowed free on off true false".split())
+#: Words after the one that a compound name is about.
+_BOX_WORDS = frozenset("area areas bar bars block blocks body bottom box boxes button buttons card cards center column container content group heading icon icons inner item items large left link links list lists main message messages module outer panel post posts article articles primary region right row secondary section sections slot slots small space text thread title top unit units wrap wrapper zone".split())
+SPARED = frozenset("html body article main".split()) | HEADINGS | INLINE
+OPEN, DOUBTED, NAMED, BARRED = range(4)  # what tag and names say of an element: article, perhaps not, not by its name, never
 
 
 @dataclass
@@ -61,7 +69,7 @@ class Element:
     tag: str
     parent: int
     depth: int
-    barred: bool  # in something that is not the article
+    said: int  # OPEN, DOUBTED, NAMED or BARRED
     weight: float = 0.0
 
 
@@ -79,23 +87,35 @@ class Page:
     nodes: list[Node] = field(default_factory=list)
 
 
-def _names_other(tag: str, attributes: str) -> bool:
-    if tag in ("html", "body"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    for found in _NAMED.finditer(attributes):
-        for name in _SPACE.split(html.unescape(next(g for g in found.groups() if g is not None))):
-            words = [w.lower() for w in _WORD.findall(name)]
-            if words and words[0] not in _KEEP_NAMES and not NOT_ARTICLE_WORDS.isdisjoint(words):
-                return True
-    return False
+def _said(name: str) -> int:
+    """Whether one name of a class, id or role names something else than the article."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    if NOT_ARTICLE_WORDS.isdisjoint(words) or not _KEEP_NAMES.isdisjoint(words) or words[-1] in _STATES:
+        return OPEN
+    while words[-1] in _BOX_WORDS:
+        words.pop()
+    return NAMED if words[-1] in NOT_ARTICLE_WORDS else DOUBTED
+
+
+def _says(tag: str, attributes: str) -> int:
+    if tag in NOT_ARTICLE:
+        return BARRED
+    said = NAMED if tag == "form" else OPEN
+    if not attributes or tag in ("html", "body"):
+        return said
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), html.unescape("".join(values))
+        if name == "hidden" or name == "style" and _NO_DISPLAY.search(value):
+            return BARRED
+        if name in ("class", "id", "role") and tag not in SPARED:
+            said = max([said, *map(_said, value.split())])
+    return said
 
 
 def read_page(source: str) -> Page:
-    """Text nodes outside the barred elements, with their block elements. Lenient
+    """Text nodes outside the elements that are never article, with their block elements. Lenient
     like browsers: unknown end tags are skipped, open elements end with their parent."""
-    page = Page([Element("#root", -1, 0, False)])
+    page = Page([Element("#root", -1, 0, OPEN)])
     # Open elements: tag, block element inside it, path, barred.
     stack: list[tuple[str, int, tuple[str, ...], bool]] = [("#root", 0, (), False)]
     at, block = 0, 0
@@ -144,9 +164,10 @@ def read_page(source: str) -> Page:
                     break
             block += 1
         _, element, path, barred = stack[-1]
-        barred = barred or tag in NOT_ARTICLE or _names_other(tag, attributes)
+        said = _says(tag, attributes)
+        barred = barred or said == BARRED
         if tag not in INLINE:
-            page.elements.append(Element(tag, element, len(stack), barred))
+            page.elements.append(Element(tag, element, len(stack), said))
             element, path = len(page.elements) - 1, (*path, tag)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(source, at)
@@ -176,20 +197,55 @@ def path_ratios(nodes: list[Node]) -> np.ndarray:
     return np.convolve(np.pad(ratio, 1, mode="edge"), KERNEL, "valid") if len(ratio) else ratio
 
 
+def weigh(page: Page, nodes: list[Node]) -> tuple[list[Node], list[int]]:
+    """The nodes on paths above the cut, and the text of all nodes by element; `weight` becomes that of the former."""
+    ratio = path_ratios(nodes)
+    content = [n for n, r in zip(nodes, ratio) if r >= CUT * ratio.std()]
+    text = [0] * len(page.elements)
+    for e in page.elements:
+        e.weight = 0.0
+    for n in nodes:
+        text[n.element] += len(n.text.strip())
+    for n in content:
+        page.elements[n.element].weight += len(n.text.strip())
+    for i in range(len(page.elements) - 1, 0, -1):  # elements stand after their parents
+        up = page.elements[i].parent
+        text[up] += text[i]
+        page.elements[up].weight += page.elements[i].weight
+    return content, text
+
+
+def admitted(page: Page) -> list[Node]:
+    """The nodes without those in elements that are named as something else.
+
+    A doubted element goes if the paths of less than half of its text are above
+    the cut. A named one stays if it has nearly all of the page's content, or
+    more than half of it and what only the article has, main or h1."""
+    if all(e.said in (OPEN, BARRED) for e in page.elements):
+        return page.nodes
+    _, text = weigh(page, [n for n in page.nodes if n.text.strip()])
+    all_of_it = page.elements[0].weight
+    heads = [e.tag in ("main", "h1") for e in page.elements]
+    for i in range(len(page.elements) - 1, 0, -1):
+        heads[page.elements[i].parent] |= heads[i]
+    out = [False]
+    for i, e in enumerate(page.elements[1:], 1):
+        if e.said == DOUBTED:
+            own = 2 * e.weight < text[i]
+        else:
+            own = e.said == NAMED and not (e.weight and (e.weight >= HOLDS * all_of_it or heads[i] and 2 * e.weight > all_of_it))
+        out.append(out[e.parent] or own)
+    return [n for n in page.nodes if not out[n.element]]
+
+
 def main_text(source: str) -> str:
     """The article of a page: blocks joined by one line feed, white space in a block made one space."""
     page = read_page(source)
-    nodes = [n for n in page.nodes if n.text]
+    nodes = [n for n in admitted(page) if n.text]
     solid = [n for n in nodes if n.text.strip()]
     if not solid:
         return ""
-    ratio = path_ratios(solid)
-    content = [n for n, r in zip(solid, ratio) if r >= CUT * ratio.std()]
-    for n in content:
-        size, e = len(n.text.strip()), n.element
-        while e >= 0:
-            page.elements[e].weight += size
-            e = page.elements[e].parent
+    content, _ = weigh(page, solid)
     need = HOLDS * page.elements[0].weight
     root = max((i for i, e in enumerate(page.elements) if e.weight >= need), key=lambda i: (page.elements[i].depth, -i))
     at = root
@@ -201,7 +257,7 @@ def main_text(source: str) -> str:
         at = page.elements[at].parent
     if page.elements[root].tag not in FENCE:
         root = at
-    # An article or main with content is kept whole, the outermost of them; elements stand after their parents.
+    # An article or main with content is kept whole, the outermost of them.
     whole = [e.tag in ("article", "main") and e.weight > 0 or i == root and e.tag not in PAGE for i, e in enumerate(page.elements)]
     for i, e in enumerate(page.elements[1:], 1):
         whole[i] |= whole[e.parent]

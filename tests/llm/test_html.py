@@ -52,6 +52,27 @@ def test_what_stands_outside_the_densest_element(page, text):
     assert main_text(page.format(b=body)) == text.format(t="\n".join([LONG.strip()] * 12))
 
 
+@pytest.mark.parametrize("page", [
+    "<article class='post comments-open'>{a}</article>", "<div id='page' class='header-fixed'>{a}</div>", "<div class='content-with-sidebar'>{a}</div>",
+    "<body><form id='form1' action='/'><div class='aspNetHidden'><input></div><div><ul>{m}</ul></div><div>{a}</div></form></body>",
+    "<div class='widget' id=sidebar><div class='widget'>Ad, ad.</div><div>{a}</div></div>", "<article id='comment' role='form'>{a}</article><div class='comments-area'><h3>Said</h3><p>Great post, I like it. Thanks, really!</p></div>",
+    "<div class='promo-holder'><ul>{m}</ul></div><div class=x>{a}</div><div class='siteNavInner'><p>Long side text, it goes on and on. And on.</p></div><div id='related-posts'><p>Read, this. And that.</p></div>",
+])
+def test_names_that_only_hold_a_listed_word(page):
+    assert main_text(page.format(a=ARTICLE, m=MENU)) == WANT
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><h2 id='related-work'>Related work</h2><p>{t}</p></article>", "Related work\n{t}"),
+    ("<article><p>{t}</p><section id='social-policy'><h2>Social policy</h2><p>{t}</p></section></article>", "{t}\nSocial policy\n{t}"),
+    ("<article><p>Take <span class='notice'>no notice</span> of it.</p><p>{t}</p></article>", "Take no notice of it.\n{t}"),
+    ("<article><p>See <a title='a hidden gem'>this</a>, <a data-x='display:none'>that</a>.</p><p>{t}</p></article>", "See this, that.\n{t}"),
+    ("<article><p>See <a hidden>this</a><b style='color:red; DISPLAY: none'>that</b>.</p><p class=a hidden=''>x</p><p>{t}</p></article>", "See .\n{t}"),
+])
+def test_headings_sections_and_words_in_a_sentence(page, text):
+    assert main_text(page.format(t=LONG)) == text.format(t=LONG.strip())
+
+
 def test_nested_cells_and_lists_are_blocks():
     assert main_text("<article><p>Text, text. Text, text.</p><ul><li>one<li>two</ul><table><tr><td>a<td>b<tr><td>c</table></article>") == "Text, text. Text, text.\none\ntwo\na\nb\nc"
 

@@ -7,19 +7,25 @@ of the conversation was quoted from it, so that both a direct quote and the
 nested quotes around it point at the same message. The message most lines point
 at is the one replied to. A message without such lines replies to the one
 before it, the first to none. Replies give each message its thread root and
-depth, and the messages come out in reply order without quotes, as chat turns."""
+depth, and the messages come out in reply order, as chat turns, without the
+quotes that were found; quoted lines that stand nowhere before stay."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pos360.llm.tables import read_table, written
+from pos360.llm.tables import pieces, read_table, written
 
 TURNS_TOGETHER = 256  # turns of a key that are looked at in one window; a busier key is split by turn
 _QUOTED = r"^[ \t]*>"
 _MARKS = r"^[ \t]*(>[ \t]?)+"
-_ATTRIBUTION = r"(?i)(wrote|writes|schrieb|a écrit|escribió)[ \t]*:[ \t]*$"
+_ATTRIBUTION = re.compile(r"(wrote|writes|schrieb|a écrit|escribió)[ \t]*:[ \t]*$", re.IGNORECASE)
+_BREAK = "\r?\n"
 
 
 def _level(line: Column) -> Column:
@@ -30,16 +36,39 @@ def _normal(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.regexp_replace(line, _MARKS, "")), r"\s+", " "))
 
 
-def own_text(text: Column) -> Column:
-    """The text without quoted lines and the attribution lines right before them."""
-    lines = F.split(text, "\r?\n")
+def _key(level: Column, line_hash: Column) -> Column:
+    return F.xxhash64(level, line_hash)
+
+
+def line_keys(text: Column) -> Column:
+    """Key of each line that quotes something, null for the others; null for a text that quotes nothing."""
+    def key(line: Column) -> Column:
+        return F.when(line.rlike(_QUOTED) & (_normal(line) != ""), _key(_level(line), F.xxhash64(_normal(line))))
+
+    return F.when(text.rlike("(?m)" + _QUOTED), F.transform(F.split(text, _BREAK), key))
 
-    def mine(line: Column, i: Column) -> Column:
-        quoted = line.rlike(_QUOTED)
-        heads = line.rlike(_ATTRIBUTION) & F.coalesce(F.get(lines, i + 1).rlike(_QUOTED), F.lit(False))
-        return ~quoted & ~heads
 
-    return F.regexp_replace(F.array_join(F.filter(lines, mine), "\n"), r"^\s+|\s+$", "")
+def own_text(text: str, keys: list[int | None] | None, found: list[int] | None) -> str:
+    """The text without the quoted lines whose keys were found, the attribution
+    lines right before them, and quote marks without text but between lines that stay."""
+    lines = re.split(_BREAK, text)
+    if keys and found:
+        found, marks = set(found), [re.match(_QUOTED, x) for x in lines]
+        stays = [k not in found if k is not None else None if m else True for k, m in zip(keys, marks)]
+        near = False
+        for i, (stay, mark) in enumerate(zip(stays, marks)):  # bare marks: first as the line before, then as the line after
+            near = near if mark and stay is None else bool(mark and stay)
+            if stay is None:
+                stays[i] = near
+        near = False
+        for i in range(len(lines) - 1, -1, -1):
+            if marks[i] and keys[i] is None:
+                stays[i] = stays[i] and near
+            else:
+                near = bool(marks[i] and stays[i])
+        gone = [bool(m) and not s for m, s in zip(marks, stays)] + [False]
+        lines = [x for i, x in enumerate(lines) if not gone[i] and not (gone[i + 1] and _ATTRIBUTION.search(x))]
+    return "\n".join(lines).strip(" \t\n\x0b\f\r")
 
 
 def last_before(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -56,9 +85,9 @@ def last_before(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def replies(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, parent_turn, link, n_quoted, n_linked) of every distinct message."""
+    """(conv_id, turn, parent_turn, link, n_quoted, n_linked, found: keys of the linked lines) of every distinct message."""
     lines = messages.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).select(
-        "conv_id", "turn", F.explode(F.split("text", "\r?\n")).alias("line")
+        "conv_id", "turn", F.explode(F.split("text", _BREAK)).alias("line")
     ).select("conv_id", "turn", _level(F.col("line")).alias("level"), _normal(F.col("line")).alias("line")).where("line <> ''")
     hashed = lines.groupBy("conv_id", "turn", "level", F.xxhash64("line").alias("hash")).agg(F.count(F.lit(1)).alias("n"))
     quoting = hashed.where("level > 0").select("conv_id", (F.col("level") - 1).alias("level"), "hash", "turn", "n", F.lit(False).alias("owns"))
@@ -66,7 +95,7 @@ def replies(messages: DataFrame) -> DataFrame:
     wanted = quoting.select("conv_id", "level", "hash").distinct()
     owning = hashed.join(wanted, ["conv_id", "level", "hash"], "left_semi").select("conv_id", "level", "hash", "turn", F.lit(0).cast("long").alias("n"), F.lit(True).alias("owns"))
     linked = last_before(quoting.unionByName(owning), ["conv_id", "level", "hash"]).where("not owns")
-    quoted = linked.groupBy("conv_id", "turn").agg(F.sum("n").alias("n_quoted"), F.sum(F.when(F.col("before").isNotNull(), F.col("n")).otherwise(0)).alias("n_linked"))
+    quoted = linked.groupBy("conv_id", "turn").agg(F.sum("n").alias("n_quoted"), F.sum(F.when(F.col("before").isNotNull(), F.col("n")).otherwise(0)).alias("n_linked"), F.collect_set(F.when(F.col("before").isNotNull(), _key(F.col("level") + 1, F.col("hash")))).alias("found"))
     votes = linked.where("before is not null").groupBy("conv_id", "turn", "before").agg(F.sum("n").alias("votes"))
     best = votes.groupBy("conv_id", "turn").agg(F.max(F.struct("votes", "before")).alias("best")).select("conv_id", "turn", F.col("best.before").alias("quoted_turn"))
     turns = messages.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).select("conv_id", "turn", F.lit(True).alias("owns")).distinct()
@@ -77,7 +106,7 @@ def replies(messages: DataFrame) -> DataFrame:
         .select(
             "conv_id", "turn", F.coalesce("quoted_turn", "before").alias("parent_turn"),
             F.when(F.col("quoted_turn").isNotNull(), "quote").when(F.col("before").isNotNull(), "turn").otherwise("root").alias("link"),
-            F.coalesce("n_quoted", F.lit(0)).alias("n_quoted"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
+            F.coalesce("n_quoted", F.lit(0)).alias("n_quoted"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "found",
         )
     )
 
@@ -100,32 +129,44 @@ def threads(links: DataFrame) -> DataFrame:
 def link_quotes(messages: DataFrame) -> DataFrame:
     """Per row: conv_id, turn, role, parent_turn, link (quote, turn or root),
     root_turn, reply_depth, n_quoted and n_linked (quoted lines, and those found),
-    text (without quotes) and formatted (a chat turn), ranged and sorted by
-    conversation, root, depth and parent, so that a reply follows its message.
+    text (without the quoted lines that were found) and formatted (a chat turn),
+    ranged and sorted by conversation, root, depth and parent, so that a reply
+    follows its message.
 
     Defined cases: null text is empty; a null role is written as the empty
     string; a row with a null conversation or turn links to nothing and is its
     own root; rows that share conversation and turn are one message to the
     links and get a row each; text that quotes nothing known falls back to the
-    turn before; an empty table gives no row; other columns do not matter."""
+    turn before; quoted lines that no earlier message has (a Python session, a
+    quote from elsewhere) stay in the text with their marks, as does the line
+    that says who wrote them; an empty table gives no row; other columns do not
+    matter."""
     rows = messages.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     found = threads(written(replies(rows), "replies"))
-    text = own_text(F.col("text"))
     order = ["conv_id", "root_turn", "reply_depth", "parent_turn", "turn"]
-    return (
+    ordered = (
         rows.join(found, ["conv_id", "turn"], "left")
-        .withColumn("text", text)
         .select(
             "conv_id", "turn", "role", "parent_turn", F.coalesce("link", F.lit("root")).alias("link"), F.coalesce("root_turn", "turn").alias("root_turn"),
             F.coalesce("reply_depth", F.lit(0)).alias("reply_depth"), F.coalesce("n_quoted", F.lit(0).cast("long")).alias("n_quoted"), F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"),
-            "text", F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n<|end|>\n")).alias("formatted"),
+            "text", "found",
         )
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
     )
+    names = [c for c in ordered.columns if c not in ("text", "found")]
+    schema = ordered.select(*names, "text", F.lit("").alias("formatted")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in pieces(batches):
+            text = [own_text(*x) for x in zip(b["text"].to_pylist(), b["keys"].to_pylist(), b["found"].to_pylist())]
+            formatted = [f"<|{r}|>\n{t}\n<|end|>\n" for r, t in zip(b["role"].to_pylist(), text)]
+            yield pa.RecordBatch.from_arrays([*(b[c] for c in names), pa.array(text, pa.string()), pa.array(formatted, pa.string())], [*names, "text", "formatted"])
+
+    return ordered.withColumn("keys", line_keys(F.col("text"))).mapInArrow(run, schema)
 
 
 def op10_quotation_threads(spark, sf_dir: str) -> DataFrame:

@@ -91,3 +91,16 @@ def test_replies_follow_their_messages(spark):
     for r in ql.link_quotes(frame(spark, m)).coalesce(1).collect():
         assert r.parent_turn is None or r.parent_turn in seen
         seen.add(r.turn)
+
+
+def test_quoted_lines_that_stand_nowhere_before_stay(spark):
+    m = [
+        (1, 0, "user", "How do I set x?"),
+        (1, 1, "assistant", "A wrote:\n> How do I set x?\n>\nSo:\n>>> x = 1\n>>>\n>>> x\n1\nB wrote:\n> Never set x.\n> How do I set x?\nDone."),
+        (2, None, "user", "> lonely\nx"),
+        (3, 0, "user", "> from elsewhere\r\n> and more\r\nmy view"),
+    ]
+    out = {(r.conv_id, r.turn): r for r in ql.link_quotes(frame(spark, m)).collect()}
+    assert out[1, 1].text == "So:\n>>> x = 1\n>>>\n>>> x\n1\nB wrote:\n> Never set x.\nDone."
+    assert out[1, 1].formatted == f"<|assistant|>\n{out[1, 1].text}\n<|end|>\n" and (out[1, 1].parent_turn, out[1, 1].n_quoted, out[1, 1].n_linked) == (0, 5, 2)
+    assert out[2, None].text == "> lonely\nx" and out[3, 0].text == "> from elsewhere\n> and more\nmy view"

@@ -104,3 +104,23 @@ def test_quoted_lines_that_stand_nowhere_before_stay(spark):
     assert out[1, 1].text == "So:\n>>> x = 1\n>>>\n>>> x\n1\nB wrote:\n> Never set x.\nDone."
     assert out[1, 1].formatted == f"<|assistant|>\n{out[1, 1].text}\n<|end|>\n" and (out[1, 1].parent_turn, out[1, 1].n_quoted, out[1, 1].n_linked) == (0, 5, 2)
     assert out[2, None].text == "> lonely\nx" and out[3, 0].text == "> from elsewhere\n> and more\nmy view"
+
+
+def test_quotes_wrapped_anew_and_in_part(spark):
+    first = "The table is sorted by its key before it is written. I agree. Nobody has to sort it again, as far as I know."
+    m = [
+        (1, 0, "user", first + "\nthanks"),
+        (1, 1, "assistant", "thanks"),
+        (1, 2, "user", "Something else altogether."),
+        (1, 3, "user", "> The table is sorted by its key\n> before it is written. I agree. Nobody has to sort it\n> again, as far as I know.\n> thanks\nWrapped."),
+        (1, 4, "user", "> Nobody has to sort it again, as far as I know.\nOne sentence."),
+        (1, 5, "user", "A wrote:\n> i  agree.\nShort."),
+        (1, 6, "user", ">> The table is sorted\n>> by its key before it is written.\n> Wrapped.\nNested."),
+        (1, 7, "user", "> The table is sorted by somebody else.\nChanged."),
+        (2, 0, "user", first),
+    ]
+    out = {(r.conv_id, r.turn): r for r in ql.link_quotes(frame(spark, m)).collect()}
+    assert {t: out[1, t].parent_turn for t in range(3, 8)} == {3: 0, 4: 0, 5: 0, 6: 3, 7: 0}
+    assert [out[1, t].text for t in range(3, 8)] == ["Wrapped.", "One sentence.", "Short.", "Nested.", "> The table is sorted by somebody else.\nChanged."]
+    assert [(out[1, t].n_quoted, out[1, t].n_linked) for t in range(3, 8)] == [(4, 4), (1, 1), (1, 1), (3, 3), (1, 0)]
+    assert all(out[1, t].link == "quote" for t in range(3, 8)) and out[2, 0].link == "root"

@@ -2,14 +2,16 @@
 
 Blocks of consecutive input rows are the source side. A communication matrix
 says how many rows of each block go to each shard; its rows are drawn one
-after the other from the multivariate hypergeometric law, which is the law
-that a uniform permutation of all rows would give. Each block is permuted by
-random keys, the cut positions of its matrix row deal it out, and the shards
+after the other from the multivariate hypergeometric law, by recursive halving
+of the shards, which is the law that a uniform permutation of all rows would
+give. Each block is permuted by random keys, the cut positions of its matrix row deal it out, and the shards
 are permuted again. Every step but the draw of the small matrix is a
 DataFrame expression."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,16 +23,46 @@ BUCKET_ROWS = 50_000  # rows aimed at in each sorted bucket of a shard
 SHARDS = 16
 
 
+def hypergeometric(good: int, bad: int, n: int, rng: np.random.Generator) -> int:
+    """How many of n rows, drawn from good + bad ones, are good; numpy's own sampler stops at 10^9 rows.
+
+    Inversion: probabilities around the mode, by their ratios, as far as they
+    are not far below what a uniform double can tell from 0."""
+    least, most, total = max(0, n - bad), min(n, good), good + bad
+    if least == most:
+        return least
+    mode = min(max((n + 1) * (good + 1) // (total + 2), least), most)
+    reach = 50 + math.ceil(10 * math.sqrt(n * (good / total) * (bad / total) * ((total - n) / (total - 1))))
+    first, last = max(least, mode - reach), min(most, mode + reach)
+    x = np.arange(first, last, dtype=np.float64)
+    up = (good - x) * (n - x) / ((x + 1) * (float(bad - n) + x + 1))  # p(x + 1) / p(x)
+    below, above = 1 / up[: mode - first], up[mode - first :]
+    weight = np.concatenate([np.cumprod(below[::-1])[::-1], [1.0], np.cumprod(above)])
+    upto = np.cumsum(weight)
+    return first + min(int(np.searchsorted(upto, rng.random() * upto[-1], "right")), last - first)
+
+
 def communication_matrix(block_rows: list[int], shards: int, seed: int) -> list[list[int]]:
     """Rows from each block to each shard: row sums are block_rows, column sums
-    differ by one at most. The extra rows go to shards drawn at random."""
+    differ by one at most. The extra rows go to shards drawn at random. A block
+    is dealt to halves of the shards, to halves of these, and so on; any number
+    of rows that an int64 holds will do."""
     rng = np.random.default_rng(seed)
     total = sum(block_rows)
     left = np.full(shards, total // shards, np.int64)
     left[rng.permutation(shards)[: total % shards]] += 1
     out = []
     for n in block_rows:
-        row = rng.multivariate_hypergeometric(left, n, method="marginals")
+        row = np.zeros(shards, np.int64)
+        halves = [(0, shards, n)]
+        while halves:
+            start, end, rows = halves.pop()
+            if end - start == 1:
+                row[start] = rows
+            elif rows:
+                middle = (start + end) // 2
+                lower = hypergeometric(int(left[start:middle].sum()), int(left[middle:end].sum()), rows, rng)
+                halves += [(start, middle, lower), (middle, end, rows - lower)]
         left -= row
         out.append(row.tolist())
     return out

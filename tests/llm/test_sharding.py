@@ -1,5 +1,6 @@
 """Operator 9: exact sizes, gapless slots, and the law of the shuffle."""
 
+import math
 import zlib
 from collections import Counter
 
@@ -58,3 +59,21 @@ def test_same_result_twice(spark):
     docs = spark.createDataFrame(rows(texts(1)), DOCS)
     one, two = (sorted((r.doc_id, r.shard, r.slot) for r in sharding.shard_rows(docs).collect()) for _ in range(2))
     assert one == two
+
+
+def test_more_than_a_billion_rows():
+    for blocks, shards in [([65_536, 300_000_000, 0, 400_000_000, 700_000_001, 1], 16), ([2**40, 65_536, 3], 3)]:
+        m = np.array(sharding.communication_matrix(blocks, shards, 4))
+        assert m.min() >= 0 and m.sum(axis=1).tolist() == blocks and np.ptp(m.sum(axis=0)) <= 1
+
+
+def test_draws_have_the_hypergeometric_law():
+    rng = np.random.default_rng(3)
+    for good, bad, n in [(5, 7, 6), (3, 90, 40), (90, 3, 92)]:
+        seen, draws = Counter(sharding.hypergeometric(good, bad, n, rng) for _ in range(5000)), 5000
+        for x in range(n + 1):
+            p = math.comb(good, x) * math.comb(bad, n - x) / math.comb(good + bad, n)
+            assert abs(seen[x] - draws * p) <= 5 * (draws * p * (1 - p)) ** 0.5 + 1e-9
+    good, bad, n, draws = 3 * 10**9, 10**9, 65_536, 1000
+    seen = np.array([sharding.hypergeometric(good, bad, n, rng) for _ in range(draws)])
+    assert abs(seen.mean() - n * 0.75) < 5 * (n * 0.1875 / draws) ** 0.5 and abs(seen.var() / (n * 0.1875) - 1) < 0.25

@@ -41,6 +41,18 @@ META = np.dtype([("region", "<u8"), ("order", "<i8"), ("pos", "<i4"), ("n", "<u2
 ANSWER = np.dtype([("region", "<u8"), ("bits", "<u8")])
 
 
+MOST_WINDOWS = 64  # of a region: its answer is one word of bits
+
+
+def anchor_length(length: int, usual: int, step: int = 1) -> int:
+    """Symbols of the anchor of windows of a length, a multiple of `step`: the
+    usual number, fewer in shorter windows, more where a region could otherwise
+    have more windows than an answer has bits."""
+    if length < step:
+        raise ValueError(f"windows must have {step} symbols at least")
+    return max(min(usual, length // step * step), -(-(length - MOST_WINDOWS + 1) // step) * step)
+
+
 @dataclass
 class Symbols:
     """Symbols of many texts: symbol i is buf[start(i):end(i)], and regions of

@@ -139,7 +139,8 @@ def dedup_words(docs: DataFrame, window: int = WINDOW_WORDS, *, keep_rest: bool
     a null id counts as smaller than any other; rows that share an id are one
     document whose starts are compared, so equal rows get equal results; an
     empty table gives no row; other columns do not matter."""
-    rule = ps.Rule(window, ANCHOR_WORDS, True, ps.word_symbols(ANCHOR_WORDS))
+    k = ps.anchor_length(window, ANCHOR_WORDS)
+    rule = ps.Rule(window, k, True, ps.word_symbols(k))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<from:long,to:long>>, kept string"
     if keep_rest:
         schema = T.StructType([*T.StructType.fromDDL(schema), T.StructField("rest", T.StructType([f for f in docs.schema if f.name != "text"]))])

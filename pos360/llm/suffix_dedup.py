@@ -112,8 +112,10 @@ def dedup_bytes(docs: DataFrame, length: int = MATCH_BYTES, *, keep_rest: bool =
     shorter than `length` stays; a null id counts as smaller than any other;
     rows that share an id are one document to the rule, each judged by itself;
     copies of any number collapse to one region per block; an empty table gives
-    no row; other columns do not matter, whatever their names."""
-    rule = ps.Rule(length, ANCHOR_BYTES, False, ps.byte_symbols(ANCHOR_BYTES))
+    no row; other columns do not matter, whatever their names. `length` is 8 at
+    least."""
+    k = ps.anchor_length(length, ANCHOR_BYTES, 8)
+    rule = ps.Rule(length, k, False, ps.byte_symbols(k))
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<from:long,to:long>>, kept binary, kept_text string"
     if keep_rest:

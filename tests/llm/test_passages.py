@@ -37,6 +37,24 @@ def test_words_match_brute_force(spark, seed):
     assert got(dedup_words(docs), WORDS) == sorted(brute.dedup_words(list(enumerate(t))))
 
 
+@pytest.mark.parametrize("length", [10, 100, 300])
+def test_other_lengths_in_bytes(spark, length):
+    t = texts(5, 30)
+    assert got(dedup_bytes(frame(spark, t), length), BYTES) == sorted(brute.dedup_bytes(list(enumerate(t)), length))
+
+
+@pytest.mark.parametrize("window", [5, 80])
+def test_other_lengths_in_words(spark, window):
+    t = texts(5, 30)
+    assert got(dedup_words(frame(spark, t), window), WORDS) == sorted(brute.dedup_words(list(enumerate(t)), window))
+
+
+def test_lengths_that_do_not_fit(spark):
+    for dedup, length in [(dedup_bytes, 7), (dedup_words, 0)]:
+        with pytest.raises(ValueError, match="at least"):
+            dedup(frame(spark, ["x"]), length)
+
+
 def test_one_block_or_many_give_the_same(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     t = texts(9, 30)

@@ -7,10 +7,19 @@ exact round trips or held-out accuracy."""
 
 from __future__ import annotations
 
+from pos360.llm.license_rules import MAX_WORDS, rules
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+def _rules() -> str:
+    def text(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    return ", ".join(f"({r.order}, {text(r.label)}, {r.priority}, {r.weight}, {text(r.keyword)}, {r.lead}, {text(r.pattern)}, {r.base})" for r in rules())
+
+
 ORACLE: dict[str, str] = {
     "op1_suffix_array_dedup": """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
@@ -55,4 +64,23 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY i
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM d LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_license_signatures": f"""
+WITH rule(ord, label, priority, weight, keyword, lead, pattern, base) AS (VALUES {_rules()}),
+d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS i FROM d),
+near AS (SELECT doc_id, i - lead AS a, r.*, array_to_string(w[i - lead + 1:i - lead + {MAX_WORDS}], ' ') AS s
+         FROM word JOIN rule r ON x = keyword AND lead <= i JOIN d USING (doc_id)),
+match AS (SELECT *, regexp_extract(s, '^(?:' || pattern || ')(?: |$)') AS m FROM near),
+det AS (SELECT *, a + length(rtrim(m)) - length(replace(rtrim(m), ' ', '')) + 1 AS z FROM match WHERE m <> ''),
+longest AS (SELECT * FROM det QUALIFY row_number() OVER (PARTITION BY doc_id, a ORDER BY z DESC, priority, ord) = 1),
+outside AS (SELECT * FROM longest
+            QUALIFY coalesce(max(z) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) < z),
+left_over AS (SELECT * FROM outside o WHERE NOT EXISTS (SELECT 1 FROM outside e WHERE e.doc_id = o.doc_id AND e.a < o.z AND o.a < e.z
+              AND (e.priority, e.a - e.z, e.ord) < (o.priority, o.a - o.z, o.ord))),
+found AS (SELECT doc_id, label, weight FROM left_over UNION ALL SELECT doc_id, label, weight FROM det WHERE base),
+base AS (SELECT doc_id, count(*) AS n, min(a) AS first, max(a) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS l FROM det WHERE base GROUP BY doc_id),
+every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS l, max(weight) AS score FROM found GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, CAST(first AS BIGINT) AS first_word, CAST(last AS BIGINT) AS last_word,
+  coalesce(base.l, '') AS base_labels, coalesce(every.l, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)""",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pos360.llm.decontaminate import op8_suffix_array_decontamination
 from pos360.llm.html_extract import op2_tag_path_extraction
+from pos360.llm.license_scan import op11_license_signatures
 from pos360.llm.oracle import ORACLE
 from pos360.llm.quality_gbt import op3_boosted_tree_quality
 from pos360.llm.quality_rules import op7_risk_controlled_rules
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_decontamination": op8_suffix_array_decontamination,
     "op9_hypergeometric_shards": op9_hypergeometric_shards,
     "op10_quotation_threads": op10_quotation_threads,
+    "op11_license_signatures": op11_license_signatures,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

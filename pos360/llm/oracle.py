@@ -83,4 +83,14 @@ every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS l, ma
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, CAST(first AS BIGINT) AS first_word, CAST(last AS BIGINT) AS last_word,
   coalesce(base.l, '') AS base_labels, coalesce(every.l, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)""",
+    "op12_bitsliced_search": f"""
+WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+stat AS (SELECT count(*) FILTER (len(w) > 0) AS dn, CAST(sum(len(w)) AS BIGINT) AS total FROM d),
+q AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({_ALNUM}) AS t FROM benchmark) GROUP BY item_id, t),
+tf AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d) SEMI JOIN q USING (t) GROUP BY doc_id, n, t),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * dn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, stat GROUP BY t, dn),
+part AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * dn) // total))) AS p FROM tf JOIN weight USING (t), stat),
+score AS (SELECT item_id, doc_id, CAST(sum(times * p) AS BIGINT) AS score FROM q JOIN part USING (t) GROUP BY item_id, doc_id HAVING sum(times * p) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, CAST(doc_id AS BIGINT) AS doc_id, score
+FROM score QUALIFY rank <= 20""",
 }

@@ -13,6 +13,7 @@ from pos360.llm.oracle import ORACLE
 from pos360.llm.quality_gbt import op3_boosted_tree_quality
 from pos360.llm.quality_rules import op7_risk_controlled_rules
 from pos360.llm.quote_linking import op10_quotation_threads
+from pos360.llm.ranked_search import op12_bitsliced_search
 from pos360.llm.sentencepiece_codec import op5_sentencepiece_unigram
 from pos360.llm.sharding import op9_hypergeometric_shards
 from pos360.llm.simhash import op4_simhash_byte_index
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hypergeometric_shards": op9_hypergeometric_shards,
     "op10_quotation_threads": op10_quotation_threads,
     "op11_license_signatures": op11_license_signatures,
+    "op12_bitsliced_search": op12_bitsliced_search,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -93,4 +93,22 @@ part AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25
 score AS (SELECT item_id, doc_id, CAST(sum(times * p) AS BIGINT) AS score FROM q JOIN part USING (t) GROUP BY item_id, doc_id HAVING sum(times * p) > 0)
 SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, CAST(doc_id AS BIGINT) AS doc_id, score
 FROM score QUALIFY rank <= 20""",
+    "op13_debruijn_collocations": rf"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all({_LOWER}, '[^.,;:!?\x0A-\x0D]+')) AS s FROM documents),
+word AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM piece),
+gram AS (SELECT lang, k, w[i:i + k - 1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM word, (VALUES (1), (2), (3), (4)) t(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, g, count(*) AS f FROM gram GROUP BY lang, k, g),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT * FROM f WHERE k > 1 AND f >= 30),
+inner_ AS (SELECT lang, g[i:i + m - 1] AS g, max(f) AS f
+           FROM (SELECT lang, g, f, k, m, unnest(range(1, k - m + 2)) AS i FROM cand, (VALUES (2), (3)) t(m) WHERE m < k) GROUP BY ALL),
+best AS (SELECT lang, g, max(f) AS covers FROM inner_ GROUP BY lang, g),
+left_over AS (SELECT c.* FROM cand c LEFT JOIN best b ON c.lang = b.lang AND c.g = b.g WHERE covers IS NULL OR 100 * covers < 80 * c.f),
+cut AS (SELECT c.lang, c.g, c.f AS a, j, x.f AS l, y.f AS r, CAST((2000000 * CAST(c.f AS HUGEINT)) // (x.f + y.f) AS BIGINT) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM left_over) c
+        JOIN f x ON x.lang = c.lang AND x.g = c.g[1:j] JOIN f y ON y.lang = c.lang AND y.g = c.g[j + 1:c.k]),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+named AS (SELECT *, array_to_string(g, ' ') AS phrase FROM low)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM named JOIN total USING (lang) QUALIFY rank <= 2000""",
 }

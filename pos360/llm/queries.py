@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pos360.llm.collocations import op13_debruijn_collocations
 from pos360.llm.decontaminate import op8_suffix_array_decontamination
 from pos360.llm.html_extract import op2_tag_path_extraction
 from pos360.llm.license_scan import op11_license_signatures
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quotation_threads": op10_quotation_threads,
     "op11_license_signatures": op11_license_signatures,
     "op12_bitsliced_search": op12_bitsliced_search,
+    "op13_debruijn_collocations": op13_debruijn_collocations,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -141,3 +141,29 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def row_of(offsets: np.ndarray, n: int) -> np.ndarray:
     """Slice number of each of n items."""
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:n]
+
+
+def same_spans(a: np.ndarray, start_a: np.ndarray, b: np.ndarray, start_b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether the spans of buffer a equal those of buffer b, byte by byte, eight a round."""
+    here, there = unaligned(a), unaligned(b)
+    same = np.ones(len(length), bool)
+    live, done = np.flatnonzero(length > 0), 0
+    while len(live):
+        short = np.minimum(length[live] - done, 8).astype(U64)
+        differ = here[start_a[live] + done] ^ there[start_b[live] + done]
+        same[live] = (differ & (U64(0xFFFFFFFFFFFFFFFF) >> (U64(64) - short * U64(8)))) == 0
+        done += 8
+        live = live[same[live] & (length[live] > done)]
+    return same
+
+
+def span_codes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Number of each span's content among the distinct ones; h are the spans' hashes, equal contents are told apart by bytes."""
+    _, first, code = np.unique(h, return_index=True, return_inverse=True)
+    length = end - start
+    like = first[code]
+    if (length == length[like]).all() and same_spans(buf, start, buf, start[like], length).all():
+        return code
+    known: dict[bytes, int] = {}  # two contents of one hash
+    data = buf.tobytes()
+    return np.array([known.setdefault(data[s:e], len(known)) for s, e in zip(start.tolist(), end.tolist())], np.int64)

@@ -8,7 +8,10 @@ and byte pieces into bytes.
 
 A text's path falls apart where a marker follows another character, unless a
 piece spans such a place (checked when the model is read), so segments between
-these places are encoded once for all their occurrences in a task."""
+these places are encoded once for all their occurrences in a task. A long
+segment is cut further between two characters that stand side by side in no
+piece, and what is still long is worked off in windows: a window's path is final
+up to the last place where the paths to all its possible ends agree."""
 
 from __future__ import annotations
 
@@ -29,7 +32,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNKNOWN_PENALTY = 10.0
-CACHED_SEGMENTS = 1 << 19  # of a task; a full cache is emptied
+CACHE_BYTES = 24 << 20  # of segments and ids that a task keeps; a full cache is emptied
+_ENTRY_BYTES = 180  # of a kept segment, besides its own
+PART_BYTES = 1 << 18  # of new segments that are encoded at a time
+CHUNK_BYTES = 1 << 20  # of a long text that is taken apart at a time
+LONG_BYTES = 64  # segments from here on are cut between characters
+WINDOW_BYTES = 1 << 13
 _LOCKSTEP_BYTES = 256  # longer segments are walked one by one
 
 
@@ -142,6 +150,9 @@ class PieceModel:
         self.text_at = np.zeros(len(text) + 1, np.int64)
         np.cumsum([len(t) for t in text], out=self.text_at[1:])
         self.text = np.frombuffer(b"".join(text), np.uint8)
+        self.longest = max(len(pieces[i][0]) for i in in_trie)
+        inner = [np.frombuffer(pieces[i][0].replace(MARK, b" ").decode().encode("utf-32-le"), np.uint32).astype(np.int64) for i in in_trie]
+        self.pairs = np.unique(np.concatenate([(p[:-1] << 21) | p[1:] for p in inner]))
         crosses = any(re.search(b"[^ ] ", pieces[i][0].replace(MARK, b" ")) for i in in_trie)
         self.segment = re.compile(b".+" if crosses else b" *[^ ]+| +", re.DOTALL)
 
@@ -173,11 +184,8 @@ class PieceModel:
         ids.append(np.full(len(alone), self.unknown))
         return np.concatenate(starts), np.concatenate(ends), np.concatenate(ids)
 
-    def encode_segments(self, segments: list[bytes]) -> list[bytes]:
-        """Piece ids of each segment (spaces stand for the marker), as 32-bit numbers."""
-        marked = [s.replace(b" ", MARK) for s in segments]
-        off = np.zeros(len(marked) + 1, np.int64)
-        np.cumsum([len(s) for s in marked], out=off[1:])
+    def _best(self, marked: list[bytes], off: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(buffer, start, end, piece, first, back): edges, whether one begins its segment, and the last edge of the best path to each place."""
         buf = np.frombuffer(b"".join(marked), np.uint8)
         start, end, piece = self._edges(buf, off)
         segment = np.searchsorted(off, start, "right") - 1
@@ -204,6 +212,24 @@ class PieceModel:
             total = (0.0 if f else best[s]) + x
             if back[e] < 0 or total > best[e]:
                 best[e], back[e] = total, i
+        return buf, start, end, piece, first, back
+
+    def _ids(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray, piece: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the edges in turn, ids of each edge): an uncovered character has one for each byte."""
+        uncovered = piece[edge] == self.unknown
+        n = np.where(uncovered, end[edge] - start[edge], 1)
+        index = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        source = np.repeat(edge, n)
+        byte = self.byte_piece[buf[np.minimum(start[source] + index, len(buf) - 1)]]
+        return np.where(np.repeat(uncovered, n), byte, np.minimum(piece[source], self.unknown - 1)).astype(np.int32), n
+
+    def encode_segments(self, segments: list[bytes]) -> list[bytes]:
+        """Piece ids of each segment (spaces stand for the marker), as 32-bit numbers."""
+        marked = [s.replace(b" ", MARK) for s in segments]
+        off = np.zeros(len(marked) + 1, np.int64)
+        np.cumsum([len(s) for s in marked], out=off[1:])
+        buf, start, end, piece, first, back = self._best(marked, off)
+        size = np.diff(off)
         # Walk back from all segment ends at once.
         who, at = np.flatnonzero(size > 0), off[1:][size > 0]
         owners, edges = [], []
@@ -218,39 +244,141 @@ class PieceModel:
         owner, edge = np.concatenate(owners[::-1]), np.concatenate(edges[::-1])
         by = np.argsort(owner, kind="stable")
         owner, edge = owner[by], edge[by]
-        uncovered = piece[edge] == self.unknown
-        n = np.where(uncovered, end[edge] - start[edge], 1)
-        index = np.arange(n.sum()) - np.repeat(np.append(0, np.cumsum(n)[:-1]), n)
-        source = np.repeat(edge, n)
-        ids = np.where(np.repeat(uncovered, n), self.byte_piece[buf[np.minimum(start[source] + index, len(buf) - 1)]], np.minimum(piece[source], self.unknown - 1)).astype(np.int32).tobytes()
+        ids, n = self._ids(buf, start, end, piece, edge)
         cut = (4 * np.searchsorted(np.repeat(owner, n), np.arange(len(segments) + 1))).tolist()
+        ids = ids.tobytes()
         return [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
 
-    def encode(self, texts: list[bytes], cache: dict[bytes, bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(piece ids of all texts, offsets). Segments are looked up in, and added to, the cache."""
-        prefix = b" " if self.dummy_prefix else b""
-        split = [self.segment.findall(prefix + t.replace(MARK, b" ")) if t else [] for t in texts]
-        fresh = list({s for one in split for s in one if s not in cache})
-        if len(cache) + len(fresh) > CACHED_SEGMENTS:
+    def cut(self, segment: bytes) -> Iterator[bytes]:
+        """The segment between the places that no piece spans: its paths meet there."""
+        try:
+            text = segment.decode()
+        except UnicodeDecodeError:
+            yield segment
+            return
+        begin = 0
+        for a in range(1, len(text), CHUNK_BYTES):
+            c = np.frombuffer(text[a - 1 : a + CHUNK_BYTES].encode("utf-32-le"), np.uint32).astype(np.int64)
+            pair = (c[:-1] << 21) | c[1:]
+            known = self.pairs[np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)] == pair
+            for e in (np.flatnonzero(~known) + a).tolist():
+                yield text[begin:e].encode()
+                begin = e
+        yield text[begin:].encode()
+
+    def encode_long(self, segment: bytes) -> bytes:
+        """Piece ids of one long segment, in windows: memory does not grow with the segment."""
+        text, out, window, at = segment.replace(b" ", MARK), [], WINDOW_BYTES, 0
+        while at < len(text):
+            end = min(len(text), at + window)
+            while end < len(text) and text[end] & 0xC0 == 0x80:
+                end -= 1
+            if end == len(text):
+                out.append(self.encode_segments([text[at:]])[0])
+                break
+            ids, done = self._encode_open(text[at:end])
+            out.append(ids)
+            at, window = at + done, WINDOW_BYTES if done else 2 * window
+        return b"".join(out)
+
+    def _encode_open(self, text: bytes) -> tuple[bytes, int]:
+        """(ids, bytes) of the part of a window that is final, whatever follows the window.
+
+        A path leaves the window from one of its last places, not further from
+        its end than the longest piece; what the best paths to all of them share is final."""
+        n = len(text)
+        buf, start, end, piece, first, back = self._best([text], np.array([0, n]))
+        places = {p for p in range(max(1, n - self.longest), n + 1) if back[p] >= 0}
+        while len(places) > 1:
+            last = max(places)
+            places.remove(last)
+            places.add(0 if first[back[last]] else int(start[back[last]]))
+        (done,) = places
+        edges, at = [], done
+        while at:
+            edges.append(back[at])
+            at = 0 if first[back[at]] else start[back[at]]
+        edge = np.array(edges[::-1], np.int64)
+        return self._ids(buf, start, end, piece, edge)[0].tobytes(), done
+
+    def _known(self, segments: list[bytes], cache: dict[bytes, bytes]) -> bytes:
+        """Piece ids of the segments one after the other; what the cache lacks is encoded and kept."""
+        fresh = list({s for s in segments if s not in cache})
+        kept = cache.get(b"", 0)  # bytes in the cache; no segment is empty
+        new = sum(map(len, fresh)) * 3 + len(fresh) * _ENTRY_BYTES
+        if kept + new > CACHE_BYTES:
             cache.clear()
-            fresh = list({s for one in split for s in one})
-        for a in range(0, len(fresh), 1 << 16):
-            part = fresh[a : a + (1 << 16)]
+            fresh, kept = list(set(segments)), 0
+            new = sum(map(len, fresh)) * 3 + len(fresh) * _ENTRY_BYTES
+        cache[b""] = kept + new
+        part, size = [], 0
+        for s in fresh:
+            if len(s) > WINDOW_BYTES:
+                cache[s] = self.encode_long(s)
+                continue
+            part.append(s)
+            size += len(s)
+            if size >= PART_BYTES:
+                cache.update(zip(part, self.encode_segments(part)))
+                part, size = [], 0
+        if part:
             cache.update(zip(part, self.encode_segments(part)))
-        packed = [b"".join([cache[s] for s in one]) for one in split]
-        at = np.zeros(len(packed) + 1, np.int64)
-        np.cumsum([len(p) // 4 for p in packed], out=at[1:])
-        return np.frombuffer(b"".join(packed), np.int32), at
+        return b"".join([cache[s] for s in segments])
+
+    def _segments(self, text: bytes) -> Iterator[bytes]:
+        for m in self.segment.finditer((b" " if self.dummy_prefix else b"") + text.replace(MARK, b" ")):
+            if m.end() - m.start() <= LONG_BYTES:
+                yield m[0]
+            else:
+                yield from self.cut(m[0])
+
+    def encode(self, texts: list[bytes], cache: dict[bytes, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(piece ids of all texts, offsets). Segments are looked up in, and added to, the cache.
+
+        Several texts are taken together up to CHUNK_BYTES; a longer one is worked off in chunks."""
+        out, n = [], np.zeros(len(texts), np.int64)
+        todo: list[bytes] = []
+        ends: list[tuple[int, int]] = []  # (text, segments of it) in todo
+        size = 0
+
+        def flush() -> None:
+            nonlocal size
+            first = 0
+            out.append(self._known(todo, cache))
+            for t, count in ends:
+                n[t] += sum(len(cache[s]) for s in todo[first : first + count]) // 4
+                first += count
+            todo.clear()
+            ends.clear()
+            size = 0
+
+        for t, text in enumerate(texts):
+            before = len(todo)
+            if text:
+                for s in self._segments(text):
+                    todo.append(s)
+                    size += len(s)
+                    if size >= CHUNK_BYTES:
+                        ends.append((t, len(todo) - before))
+                        flush()
+                        before = 0
+            ends.append((t, len(todo) - before))
+        flush()
+        at = np.zeros(len(texts) + 1, np.int64)
+        np.cumsum(n, out=at[1:])
+        return np.frombuffer(b"".join(out), np.int32), at
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> list[bytes]:
         """Texts of the pieces: markers become spaces, the dummy prefix goes, byte pieces become bytes."""
-        size = self.text_at[ids + 1] - self.text_at[ids]
-        to = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(size, out=to[1:])
-        index = np.arange(to[-1]) + np.repeat(self.text_at[ids] - to[:-1], size)
-        line = self.text[index].tobytes()
-        ends = to[at].tolist()
-        out = [line[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        lines, ends = [], np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(self.text_at[ids + 1] - self.text_at[ids], out=ends[1:])
+        for a in range(0, len(ids), CHUNK_BYTES // 4):
+            some = ids[a : a + CHUNK_BYTES // 4]
+            size = self.text_at[some + 1] - self.text_at[some]
+            index = np.arange(size.sum()) + np.repeat(self.text_at[some] - (np.cumsum(size) - size), size)
+            lines.append(self.text[index].tobytes())
+        line, cuts = b"".join(lines), ends[at].tolist()
+        out = [line[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
         return [t[1:] if self.dummy_prefix and t[:1] == b" " else t for t in out]
 
 

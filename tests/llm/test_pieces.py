@@ -1,6 +1,7 @@
 """Operator 5 against the reference library's lattice, brute force and exact round trips."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -107,12 +108,40 @@ def test_round_trips(model):
 def test_full_cache_changes_nothing(model, monkeypatch):
     found = [t or "" for t in texts(7)]
     want = encode(model, found)
-    monkeypatch.setattr(sc, "CACHED_SEGMENTS", 10)
+    monkeypatch.setattr(sc, "CACHE_BYTES", 4000)
     cache = {}
     got = [encode_one for t in found for encode_one in [model.encode([t.encode()], cache)[0].tolist()]]
     assert got == want
 
 
+def test_long_segments_reach_the_best_score_in_windows(model, monkeypatch):
+    """Cuts between characters and windows of any size lose nothing of the sum."""
+    rng = random.Random(4)
+    han = "".join(chr(rng.randint(0x4E00, 0x4EFF)) for _ in range(400))
+    found = [han, "x" * 900, "ab" * 500, " " * 300, "é" * 333, "".join(rng.choice("theraionsd") for _ in range(1500)), "a" * 100 + han[:50] + "😀" * 40 + "the" * 90]
+    names = {k for k, _ in PIECES}
+    for window in (64, 200, 1 << 13):
+        monkeypatch.setattr(sc, "WINDOW_BYTES", window)
+        monkeypatch.setattr(sc, "CHUNK_BYTES", 3 * window)
+        for text, ids in zip(found, encode(model, found)):
+            marked = "▁" + text.replace(" ", "▁")
+            unknown = sum(1 for c in marked if c not in names)
+            total = sum(model.score[i] for i in ids if model.kinds[i] == sc.NORMAL) + unknown * model.unknown_score
+            assert total == pytest.approx(best_score(model, marked), rel=1e-12)
+            assert model.decode(np.array(ids, np.int32), np.array([0, len(ids)])) == [text.encode()]
+
+
+@pytest.mark.parametrize("unit", ["語彙とは語の", "xyz", "ab "])
+def test_memory_of_a_very_long_text_is_bounded(model, unit):
+    text = (unit * (4 << 20))[: (4 << 20) // len(unit[0].encode())].encode()
+    tracemalloc.start()
+    ids, at = model.encode([text], {})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.decode(ids, at) == [text]
+    assert peak < 30 * len(text)
+
+
 def test_rows(spark):
     t = texts(2, 10) + ["has ▁ inside"]
     docs = spark.createDataFrame(rows(t), DOCS).withColumn("ids", sc.F.lit("clash"))

@@ -68,6 +68,60 @@ def cross_sell_by_category(om: DataFrame) -> DataFrame:
     )
 
 
+def basket_signatures(om: DataFrame, categories: DataFrame) -> DataFrame:
+    """(signature, orders): how many orders have exactly the same categories.
+
+    ``categories`` numbers the categories from 0 (``product_category``, ``__id``).
+    An order's signature is a bitmap of them, as sorted (word, 64 bits) pairs:
+    ``bit_or`` combines map-side, so a basket of any number of lines travels as
+    one row per task and word. An order without a known category has an empty
+    signature."""
+    lines = om.where(F.col("order_id").isNotNull()).select("order_id", "product_category")
+    bits = lines.join(categories, "product_category", "left").select(
+        "order_id",
+        F.expr("__id div 64").alias("__word"),
+        F.expr("shiftleft(1L, cast(__id % 64 as int))").alias("__bit"),
+    )
+    words = bits.groupBy("order_id", "__word").agg(F.bit_or("__bit").alias("__bits"))
+    present = F.when(F.col("__bits").isNotNull(), F.struct(F.col("__word").alias("word"), F.col("__bits").alias("bits")))
+    per_order = words.groupBy("order_id").agg(F.sort_array(F.collect_list(present)).alias("signature"))
+    return per_order.groupBy("signature").agg(F.count(F.lit(1)).alias("orders"))
+
+
+def cross_sell_pairs(om: DataFrame, products: DataFrame) -> DataFrame:
+    """For every two categories bought in one order, the orders with both,
+    support (% of all orders), confidence in both directions (%) and lift.
+
+    Pairs are expanded from distinct basket signatures, not from baskets: the
+    output and each signature's share of it are bounded by the square of the
+    number of categories, and no basket is capped. Every signature also holds
+    the pseudo category -1, so that one aggregate gives the count of all orders
+    (-1, -1), of those with a category (-1, a) and of those with both (a, b)."""
+    # The catalogue's categories: a window over all of them is bounded.
+    categories = products.where(F.col("category").isNotNull()).select(F.col("category").alias("product_category")).distinct().withColumn(
+        "__id", (F.row_number().over(Window.partitionBy().orderBy("product_category")) - 1).cast("long"))
+    bit = F.sequence(F.lit(0), F.lit(63))
+    ids = F.flatten(F.transform("signature", lambda w: F.transform(
+        F.filter(bit, lambda i: F.getbit(w["bits"], i) == 1), lambda i: w["word"] * 64 + i)))
+    held = basket_signatures(om, categories).select("orders", F.concat(F.array(F.lit(-1).cast("long")), ids).alias("ids"))
+    first = held.select("orders", "ids", F.explode("ids").alias("a"))
+    both = first.select("orders", "a", F.explode(F.filter("ids", lambda x: x >= F.col("a"))).alias("b")).groupBy("a", "b").agg(F.sum("orders").alias("n"))
+    single = both.where("a = -1").select(F.col("b").alias("id"), F.col("n").alias("orders"))
+    named = single.join(categories, F.col("id") == F.col("__id")).select("id", "product_category", "orders")
+    a = named.select(F.col("id").alias("a"), F.col("product_category").alias("category_a"), F.col("orders").alias("n_a"))
+    b = named.select(F.col("id").alias("b"), F.col("product_category").alias("category_b"), F.col("orders").alias("n_b"))
+    everything = single.where("id = -1").select(F.col("id").alias("__all"), F.col("orders").alias("n_all"))
+    pairs = both.where("a >= 0 and a < b").join(a, "a").join(b, "b").withColumn("__all", F.least("a", F.lit(-1))).join(everything, "__all")
+    real = lambda c: F.col(c).cast("double")
+    return pairs.select(
+        "category_a", "category_b", F.col("n").alias("orders_with_both"),
+        ratio_pct(F.col("n"), F.col("n_all")).alias("support_pct"),
+        ratio_pct(F.col("n"), F.col("n_a")).alias("confidence_a_to_b_pct"),
+        ratio_pct(F.col("n"), F.col("n_b")).alias("confidence_b_to_a_pct"),
+        (real("n") * real("n_all") / (real("n_a") * real("n_b"))).alias("lift"),
+    ).orderBy(F.col("orders_with_both").desc(), "category_a", "category_b")
+
+
 def seasonality_index(om: DataFrame) -> DataFrame:
     """For each month of the year, mean monthly sales over the years it
     occurs in, and its ratio to the mean over all (year, month) pairs."""

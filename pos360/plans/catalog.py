@@ -196,6 +196,7 @@ _REGISTRY: dict[str, Query] = {
     # X1-X5
     "cohort_retention": lambda w: analyses.cohort_retention(w.order_mart),
     "cross_sell_by_category": lambda w: analyses.cross_sell_by_category(w.order_mart),
+    "cross_sell_pairs": lambda w: analyses.cross_sell_pairs(w.order_mart, w.clean.products),
     "seasonality_index": lambda w: analyses.seasonality_index(w.order_mart),
     "satisfaction_by_dimension": lambda w: analyses.satisfaction_by_dimension(w.clean_written),
     "segment_performance": lambda w: analyses.segment_performance(w.order_mart, w.segments),

@@ -14,9 +14,9 @@ SF_DIR = "/root/testdata/sf0.001"
 RFM = ("rfm_scores", "rfm_segments", "rfm_segment_counts", "rfm_segments_corrected", "segment_performance")
 
 # Unpartitioned windows that are bounded by construction: the seasonality
-# ratio (at most 12 month rows) and the exact NTILE's range offsets (one row
+# ratio (at most 12 month rows), the catalogue's categories and the exact NTILE's range offsets (one row
 # per range, checked below).
-BOUNDED_GLOBAL_WINDOWS = {"seasonality_index", *RFM}
+BOUNDED_GLOBAL_WINDOWS = {"seasonality_index", "cross_sell_pairs", *RFM}
 
 
 def _nodes(df):

@@ -9,8 +9,8 @@ term's count reaches. Presence is never missed and sometimes overstated.
 A query's terms, weighted, are summed over their slices: a document that has a
 term at one level and not at the next holds it fewer times than the next level
 says, which bounds its share of the score from above. Documents whose bound
-stays below the exact score of the last of some first 20 are excluded; every
-other document is scored exactly from its text.
+stays below the exact score of the 20th best of some first 200 are excluded;
+every other document is scored exactly from its text.
 
 The index does not depend on the queries. Queries are taken in slices of a
 bounded size, each against all rows; their counts over the corpus (documents
@@ -33,8 +33,9 @@ from pos360.llm.tables import pieces, read_table, remove, written
 from pos360.session import shared_path
 
 TOP = 20
-HASHES = 4
-BITS_PER_KEY = 10  # at least; a block has the next power of two
+HASHES = 7
+BITS_PER_KEY = 14  # at least; a block has the next power of two
+FIRST = 10  # times `top`: pairs of the largest bounds whose exact scores set the bar
 BLOCK_BITS = 1 << 24
 SLICE_BYTES = 1 << 20  # of query text in a task at a time
 BROADCAST_PAIRS = 200_000  # (item, document) pairs that are sent to all tasks; more are joined by a shuffle
@@ -298,7 +299,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, slice_bytes: int =
         q.weigh(*corpus_counts(docs, q))
         if not q.total:
             continue
-        ranked = _ranked(exact_scores(docs, written(first_pairs(index, q, top), "first-pairs"), q), top).where(F.col("rank") == top).collect()  # a row an item
+        ranked = _ranked(exact_scores(docs, written(first_pairs(index, q, FIRST * top), "first-pairs"), q), top).where(F.col("rank") == top).collect()  # a row an item
         least, last = np.zeros(len(rows), np.int64), np.full(len(rows), _LAST)
         for r in ranked:
             least[r["item"]], last[r["item"]] = r["score"], _LAST if r["doc_id"] is None else r["doc_id"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pos360.operators.ranking import exact_ntile
+from pos360.operators.ranking import ntile_by_cut_keys
 from pos360.params import DEFAULT, RunParams
 from pos360.session import write_and_read
 
@@ -44,22 +44,18 @@ def rfm_recency(cm: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     return rfm_base(cm, params).select("custid", "recency")
 
 
-def rfm_scores(cm: DataFrame, params: RunParams = DEFAULT, **ntile_opts) -> DataFrame:
+def rfm_scores(cm: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """F2: three NTILE scores and the concatenated segment code.
 
-    The customer-grain base is written once with a row number; each ranking
-    reads its ordering columns from it and adds (row, tile), so no ranking
-    carries another one's columns, and rows that share an id stay apart.
+    The customer-grain base is written once, since the selection of the tiles'
+    last keys reads it a few times; each score is then a comparison with three
+    keys (``ranking.ntile_by_cut_keys``).
     Reference (D10): score = tile, so the best customers get 1. Corrected:
     score = tiles + 1 - tile."""
     k = params.rfm_tiles
-    base = write_and_read(rfm_base(cm, params).withColumn("__row", F.monotonically_increasing_id()), "rfm-base")
-    n = base.count()
-    scored = base
-    for order, col in ((RECENCY_ORDER, "recency_score"), (FREQUENCY_ORDER, "frequency_score"),
-                       (MONETARY_ORDER, "monetary_score")):
-        tiles = exact_ntile(base, k, order, col, n=n, **ntile_opts).select("__row", col)
-        scored = scored.join(tiles, "__row")
+    base = write_and_read(rfm_base(cm, params), "rfm-base")
+    scored = ntile_by_cut_keys(base, k, {
+        "recency_score": RECENCY_ORDER, "frequency_score": FREQUENCY_ORDER, "monetary_score": MONETARY_ORDER})
     if params.corrected:
         scored = scored.withColumns({
             c: (F.lit(k + 1) - F.col(c)).cast("int") for c in ("recency_score", "frequency_score", "monetary_score")
@@ -81,9 +77,9 @@ def segment_of(total: F.Column) -> F.Column:
     return expr.otherwise(F.lit(UNDEFINED_SEGMENT))
 
 
-def rfm_segments(cm: DataFrame, params: RunParams = DEFAULT, **ntile_opts) -> DataFrame:
+def rfm_segments(cm: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """total score and segment name."""
-    s = rfm_scores(cm, params, **ntile_opts)
+    s = rfm_scores(cm, params)
     total = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     return s.select(
         "custid", "recency", "recency_score", "frequency", "frequency_score", "monetary", "monetary_score",
@@ -91,10 +87,10 @@ def rfm_segments(cm: DataFrame, params: RunParams = DEFAULT, **ntile_opts) -> Da
     )
 
 
-def rfm_segment_counts(cm: DataFrame, params: RunParams = DEFAULT, **ntile_opts) -> DataFrame:
+def rfm_segment_counts(cm: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
     """customers per segment."""
     return (
-        rfm_segments(cm, params, **ntile_opts)
+        rfm_segments(cm, params)
         .groupBy("customer_segment")
         .agg(F.count(F.lit(1)).alias("customer_count"))
     )

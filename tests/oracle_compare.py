@@ -6,18 +6,19 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import glob
 import hashlib
 import math
+import os
 
 import duckdb
 
-TPCH_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-
 
 def duck_connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for t in TPCH_TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    for path in sorted(glob.glob(f"{sf_dir}/*.parquet")):
+        t = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from micro import micro_tables
 from oracle_compare import digest
 from pos360.operators import quality as q
+from pos360.sources.fixtures import FIXTURE_PARAMS
 from pos360.plans.catalog import Workspace, run
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -45,7 +46,7 @@ def test_one_review_per_known_order(micro):
 
 
 def test_null_keys_never_deleted_or_updated(micro):
-    out = q.clean_orders(micro.orders)
+    out = q.clean_orders(micro.orders, FIXTURE_PARAMS)
     assert out.where(F.col("order_id").isNull()).count() == 1
     # The NULL-product line of a multi-product basket is set to 1 (the
     # basket key is not NULL), the NULL-customer line keeps its quantity.
@@ -115,7 +116,7 @@ def test_drop_year_independent_of_session_time_zone(spark, micro):
     try:
         for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
             spark.conf.set("spark.sql.session.timeZone", tz)
-            kept.append(sorted((r.order_id or "", r.line_no) for r in q.clean_drop_year(micro.orders).collect()))
+            kept.append(sorted((r.order_id or "", r.line_no) for r in q.clean_drop_year(micro.orders, FIXTURE_PARAMS).collect()))
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert kept[0] == kept[1] == kept[2]

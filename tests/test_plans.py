@@ -9,14 +9,14 @@ import json
 import pytest
 
 from pos360.plans.catalog import KEYS, Workspace, run
+from pos360.sources.fixtures import FIXTURE_PARAMS, fixture_tables, write_inputs
 
 SF_DIR = "/root/testdata/sf0.001"
 RFM = ("rfm_scores", "rfm_segments", "rfm_segment_counts", "rfm_segments_corrected", "segment_performance")
 
 # Unpartitioned windows that are bounded by construction: the seasonality
-# ratio (at most 12 month rows), the catalogue's categories and the exact NTILE's range offsets (one row
-# per range, checked below).
-BOUNDED_GLOBAL_WINDOWS = {"seasonality_index", "cross_sell_pairs", *RFM}
+# ratio (at most 12 month rows) and the catalogue's categories.
+BOUNDED_GLOBAL_WINDOWS = {"seasonality_index", "cross_sell_pairs"}
 
 
 def _nodes(df):
@@ -45,21 +45,24 @@ def test_plan_shape(spark, no_aqe, key):
         assert "WindowExec" not in classes or key == "clean_store_duplicates", key
 
 
-@pytest.mark.parametrize("key", RFM)
-def test_ntile_has_no_window_over_customers(spark, no_aqe, key):
-    """All windows over everything read range counts: below each is an aggregate by range."""
-    nodes = _nodes(run(key, Workspace(spark, SF_DIR)))
-    plan = run(key, Workspace(spark, SF_DIR))._jdf.queryExecution().executedPlan().toString()
-    windows = [n for n in nodes if n["class"].endswith("WindowExec") and not n.get("partitionSpec")]
-    assert windows and all("__pid" in json.dumps(n["orderSpec"]) for n in windows)
-    assert "ntile" not in plan.lower().replace("ntile-", "")
+@pytest.mark.parametrize("key", [k for k in RFM if k != "segment_performance"])
+def test_scores_are_comparisons(spark, no_aqe, key):
+    """No window, sort, join or range exchange of customers: a score compares with literal keys."""
+    classes = [n["class"].rsplit(".", 1)[-1] for n in _nodes(run(key, Workspace(spark, SF_DIR)))]
+    assert not {"WindowExec", "SortExec", "SortMergeJoinExec", "BroadcastHashJoinExec"} & set(classes)
+    assert classes.count("ShuffleExchangeExec") == (1 if key == "rfm_segment_counts" else 0)
+
+
+@pytest.fixture(scope="module")
+def inputs(spark):
+    return write_inputs(fixture_tables(spark, SF_DIR))
 
 
 @pytest.mark.parametrize("key", ["clean_orders", "order_level_enriched"])
-def test_lines_are_scanned_twice_at_most(spark, no_aqe, key):
+def test_lines_are_scanned_twice_at_most(spark, no_aqe, inputs, key):
     """The two group statistics of the cleaning chain share one scan and shuffle."""
-    nodes = _nodes(run(key, Workspace(spark, SF_DIR)))
-    scans = [n for n in nodes if n["class"].endswith("FileSourceScanExec") and "l_quantity" in json.dumps(n["output"])]
+    nodes = _nodes(run(key, Workspace(spark, raw=inputs, params=FIXTURE_PARAMS)))
+    scans = [n for n in nodes if n["class"].endswith("FileSourceScanExec") and "bill_date_timestamp" in json.dumps(n["output"])]
     reused = [n for n in nodes if n["class"].endswith("ReusedExchangeExec")]
     assert len(scans) <= 2 and reused
 

@@ -10,7 +10,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pos360.operators.ranking import dedupe_keep_one, exact_ntile, ntile_of_position, sort_columns, top1_per_key
+from pos360.operators import ranking
+from pos360.operators.ranking import (
+    dedupe_keep_one, exact_ntile, keys_at, ntile_by_cut_keys, ntile_of_position, sort_columns, top1_per_key)
 
 def builtin_ntile(df, tiles, order, out_col):
     """Spark's own ntile over one window of all rows."""
@@ -53,6 +55,45 @@ def test_exact_ntile_equals_builtin(spark, n, order, tiles):
     assert sorted(got.select("id", "t").collect()) == sorted(want.select("id", "t").collect())
 
 
+@pytest.mark.parametrize("few", [2, 10_000])
+@pytest.mark.parametrize("n, tiles", [(0, 4), (3, 4), (250, 7)])
+def test_ntile_by_cut_keys_equals_builtin(spark, monkeypatch, n, tiles, few):
+    monkeypatch.setattr(ranking, "SELECT_ROWS", few)  # few: every key is narrowed down to its last column
+    df = spark.createDataFrame(_rows(n, seed=n), SCHEMA)
+    orders = {f"t{i}": o for i, o in enumerate(ORDERS)}
+    want = df
+    for name, order in orders.items():
+        want = builtin_ntile(want, tiles, order, name)
+    got = ntile_by_cut_keys(df, tiles, orders)
+    assert got.columns == want.columns and sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
+def test_cut_keys_narrow_over_rounds(spark, monkeypatch):
+    """Far more rows than a window may have, two values that fill a third each, dates, extremes."""
+    monkeypatch.setattr(ranking, "SELECT_ROWS", 50)
+    df = spark.range(60_000).selectExpr(
+        "id", "cast(case id % 3 when 0 then 7 when 1 then 9 else id * 7919 % 10007 end as int) AS v",
+        "case when id % 11 > 0 then date_add(DATE'2020-01-01', cast(id * 31 % 977 as int)) end AS d", "cast(id * 7 % 60000 as decimal(38,2)) AS m")
+    orders = {"a": [("v", True), ("id", False)], "b": [("d", False), ("id", True)], "c": [("m", False), ("id", True)], "e": [("d", True), ("v", False), ("id", True)]}
+    want = df
+    for name, order in orders.items():
+        want = builtin_ntile(want, 4, order, name)
+    got = ntile_by_cut_keys(df, 4, orders)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_keys_at_every_position(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SELECT_ROWS", 3)
+    rows = [(a, b) for a in (1, 1, 2, 5, 5, 5) for b in (3, 4, -1)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    assert keys_at(df, [(("a", "b"), p + 1) for p in range(len(rows))], len(rows)) == sorted(rows)
+
+
+def test_text_keys_are_refused(spark):
+    with pytest.raises(TypeError):
+        ntile_by_cut_keys(spark.createDataFrame([("a",)], "s string"), 4, {"t": [("s", True)]})
+
+
 def test_exact_ntile_one_hot_value_is_split(spark):
     # A third of the rows share one value: cut points on the whole key
     # (value + tie-break) still spread it over several buckets.
@@ -114,8 +155,9 @@ def test_exact_ntile_many_ranges_large(spark):
     assert sorted(r["count"] for r in got.groupBy("t").count().collect()) == [50_000] * 4
 
 
-@pytest.mark.parametrize("options", [{}, {"rows_per_range": 20}])
-def test_rfm_scores_equal_builtin(spark, options):
+@pytest.mark.parametrize("few", [20, 10_000])
+def test_rfm_scores_equal_builtin(spark, monkeypatch, few):
+    monkeypatch.setattr(ranking, "SELECT_ROWS", few)
     from pos360.plans import rfm
     from pos360.plans.catalog import Workspace
 
@@ -123,7 +165,7 @@ def test_rfm_scores_equal_builtin(spark, options):
     want = rfm.rfm_base(w.customer_mart, w.params)
     for order, col in ((rfm.RECENCY_ORDER, "r"), (rfm.FREQUENCY_ORDER, "f"), (rfm.MONETARY_ORDER, "m")):
         want = builtin_ntile(want, 4, order, col)
-    got = rfm.rfm_scores(w.customer_mart, w.params, **options).select("custid", "recency_score", "frequency_score", "monetary_score")
+    got = rfm.rfm_scores(w.customer_mart, w.params).select("custid", "recency_score", "frequency_score", "monetary_score")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("custid", "r", "f", "m").collect()))
 
 

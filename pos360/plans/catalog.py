@@ -101,10 +101,25 @@ class Workspace:
             return self._marts["store"]
         return store_level_360(self.clean_written, self.params)
 
+    def stores_with(self, *columns: str) -> DataFrame:
+        """The store mart's rows with these columns; only their aggregates are planned."""
+        if "store" in self._marts:
+            return self._marts["store"].select(*columns)
+        return store_level_360(self.clean_written, self.params, columns)
+
+    def customers_with(self, *columns: str) -> DataFrame:
+        """The customer mart's rows with these columns; payments are read only for columns about them."""
+        if "customer" in self._marts:
+            return self._marts["customer"].select(*columns)
+        return customer_level_360(self.clean_written, self.params, columns)
+
     @cached_property
     def segments(self) -> DataFrame:
-        return rfm.rfm_segments(self.customer_mart, self.params)
+        return rfm.rfm_segments(self.rfm_customers, self.params)
 
+    @cached_property
+    def rfm_customers(self) -> DataFrame:
+        return self.customers_with("custid", "last_transaction_date", "frequency", "monetary")
 
     def building(self) -> "Workspace":
         """This workspace, with the cleaned lines written once: a mart as a
@@ -153,10 +168,10 @@ _REGISTRY: dict[str, Query] = {
     "store_top_payment": lambda w: store_top_payment(w.clean.orders, w.clean.payments),
     "store_level_360": lambda w: w.building().store_mart,
     # Q01-Q21
-    "kpi_customers": lambda w: kpi.kpi_customers(w.customer_mart),
+    "kpi_customers": lambda w: kpi.kpi_customers(w.customers_with("custid")),
     "kpi_orders": lambda w: kpi.kpi_orders(w.order_mart),
     "kpi_total_discount": lambda w: kpi.kpi_total_discount(w.order_mart),
-    "kpi_avg_discount_per_customer": lambda w: kpi.kpi_avg_discount_per_customer(w.customer_mart),
+    "kpi_avg_discount_per_customer": lambda w: kpi.kpi_avg_discount_per_customer(w.customers_with("custid", "discount")),
     "kpi_avg_discount_per_order": lambda w: kpi.kpi_avg_discount_per_order(w.order_mart, w.params),
     "kpi_total_revenue": lambda w: kpi.kpi_total_revenue(w.order_mart),
     "kpi_total_profit": lambda w: kpi.kpi_total_profit(w.order_mart),
@@ -164,19 +179,19 @@ _REGISTRY: dict[str, Query] = {
     "kpi_total_quantity": lambda w: kpi.kpi_total_quantity(w.order_mart),
     "kpi_products": lambda w: kpi.kpi_products(w.order_mart),
     "kpi_categories": lambda w: kpi.kpi_categories(w.order_mart),
-    "kpi_stores": lambda w: kpi.kpi_stores(w.store_mart),
-    "kpi_locations": lambda w: kpi.kpi_locations(w.store_mart),
-    "kpi_regions": lambda w: kpi.kpi_regions(w.store_mart),
+    "kpi_stores": lambda w: kpi.kpi_stores(w.stores_with("store_id")),
+    "kpi_locations": lambda w: kpi.kpi_locations(w.stores_with("seller_city", "seller_state")),
+    "kpi_regions": lambda w: kpi.kpi_regions(w.stores_with("region")),
     "kpi_channels": lambda w: kpi.kpi_channels(w.clean.orders),
     "kpi_payment_methods": lambda w: kpi.kpi_payment_methods(w.order_mart),
     "kpi_profit_pct": lambda w: kpi.kpi_profit_pct(w.order_mart),
     "kpi_top_product": lambda w: kpi.kpi_top_product(w.order_mart),
-    "kpi_top_store": lambda w: kpi.kpi_top_store(w.store_mart),
+    "kpi_top_store": lambda w: kpi.kpi_top_store(w.stores_with("store_id", "total_profit")),
     "kpi_avg_satisfaction": lambda w: kpi.kpi_avg_satisfaction(w.order_mart, w.params),
-    "kpi_retention_rate": lambda w: kpi.kpi_retention_rate(w.customer_mart),
+    "kpi_retention_rate": lambda w: kpi.kpi_retention_rate(w.customers_with("tenure")),
     "kpi_overview": lambda w: kpi.kpi_overview(w.order_mart, w.params),
     # Q22-Q33
-    "new_customers_by_month": lambda w: trends.new_customers_by_month(w.customer_mart),
+    "new_customers_by_month": lambda w: trends.new_customers_by_month(w.customers_with("custid", "first_transaction_date")),
     "new_customer_revenue_by_month": lambda w: trends.new_customer_revenue_by_month(w.order_mart, w.params),
     "category_month_trend": lambda w: trends.category_month_trend(w.order_mart),
     "region_trend": lambda w: trends.region_trend(w.order_mart),
@@ -189,10 +204,10 @@ _REGISTRY: dict[str, Query] = {
     "gender_sales": lambda w: trends.gender_sales(w.order_mart),
     "payment_preferences": lambda w: trends.payment_preferences(w.order_mart),
     # F1-F4
-    "rfm_recency": lambda w: rfm.rfm_recency(w.customer_mart, w.params),
-    "rfm_scores": lambda w: rfm.rfm_scores(w.customer_mart, w.params),
+    "rfm_recency": lambda w: rfm.rfm_recency(w.rfm_customers, w.params),
+    "rfm_scores": lambda w: rfm.rfm_scores(w.rfm_customers, w.params),
     "rfm_segments": lambda w: w.segments,
-    "rfm_segment_counts": lambda w: rfm.rfm_segment_counts(w.customer_mart, w.params),
+    "rfm_segment_counts": lambda w: rfm.rfm_segment_counts(w.rfm_customers, w.params),
     # X1-X5
     "cohort_retention": lambda w: analyses.cohort_retention(w.order_mart),
     "cross_sell_by_category": lambda w: analyses.cross_sell_by_category(w.order_mart),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,7 +129,7 @@ def _payment_columns(ps: DataFrame) -> DataFrame:
     return ps.groupBy("custid").agg(*aggs)
 
 
-def customer_level_360(clean: Tables, params: RunParams = DEFAULT) -> DataFrame:
+def customer_level_360(clean: Tables, params: RunParams = DEFAULT, columns: Sequence[str] = CUSTOMER_MART_COLUMNS) -> DataFrame:
     """Behaviour + customer attributes + payment pivot, one row per
     customer (money columns DECIMAL; cast at the output edge).
 
@@ -136,9 +138,9 @@ def customer_level_360(clean: Tables, params: RunParams = DEFAULT) -> DataFrame:
     payment counts are multiplied by how many joined rows fell into it (what
     the original's join-then-GROUP-BY produces). That multiplicity is counted
     at customer grain and applied to per-customer payment totals, instead of
-    joining payment rows into every duplicate."""
+    joining payment rows into every duplicate. ``columns`` names those wanted:
+    without one about payments these are not read."""
     cd = customer_behaviour(clean, params)
-    ps = _payment_columns(customer_payment_summary(clean, params))
     customers = clean.customers.select("custid", "customer_city", "customer_state", "gender")
     cd_cols = [c for c in cd.columns if c not in ("customer_id", "custid")]
     if params.corrected:
@@ -152,14 +154,17 @@ def customer_level_360(clean: Tables, params: RunParams = DEFAULT) -> DataFrame:
             .groupBy("custid", "customer_city", "customer_state", "gender", *cd_cols)
             .agg(F.count(F.lit(1)).alias("__mult"))
         )
-    out = g.join(ps, "custid", "left")
+    inactive = F.datediff(
+        F.current_date() if params.inactive_as_of is None else F.lit(params.inactive_as_of), "last_transaction_date")
+    if not set(columns) & {"distinct_payment_types_used", "preferred_payment_method", *(name for _, name in PAYMENT_PIVOT)}:
+        return g.withColumn("inactive_days", inactive).select(*columns)
+    out = g.join(_payment_columns(customer_payment_summary(clean, params)), "custid", "left")
     pay_sums = {
         name: (F.coalesce(F.col(name), F.lit(0)) * F.col("__mult")).cast("bigint") for _, name in PAYMENT_PIVOT
     }
     out = out.withColumns({
         **pay_sums,
         "distinct_payment_types_used": F.coalesce("distinct_payment_types_used", F.lit(0)).cast("bigint"),
-        "inactive_days": F.datediff(
-            F.current_date() if params.inactive_as_of is None else F.lit(params.inactive_as_of), "last_transaction_date"),
+        "inactive_days": inactive,
     })
-    return out.select(*CUSTOMER_MART_COLUMNS)
+    return out.select(*columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,9 +73,13 @@ def _side_by_side(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def store_level_360(clean: Tables, params: RunParams = DEFAULT) -> DataFrame:
+def store_level_360(clean: Tables, params: RunParams = DEFAULT, columns: Sequence[str] = STORE_MART_COLUMNS) -> DataFrame:
     """Per store location, sums, distinct counts, mean review and the three top picks.
 
+    ``columns`` names those wanted: only the aggregates that give them are
+    planned (Catalyst can't drop a left join whose right side it doesn't know to
+    be unique), and stores alone come from one distinct.
+
     Nothing is joined at line grain but the number of product rows per id.
     One aggregate by (store, product) serves the sums, products, categories and
     the top product; one by (store, customer) the customers; one by (store,
@@ -130,7 +136,10 @@ def store_level_360(clean: Tables, params: RunParams = DEFAULT) -> DataFrame:
         "store_id", F.col("payment_type").alias("most_common_payment_type"))
     # The original joins the payments' pick by an equal store id: a line without a store has none of the three picks.
     known = F.col("store_id").isNotNull()
-    out = _side_by_side([goods, people, days, mood, top_payment]).withColumns({
-        c: F.when(known, F.col(c)) for c in ("highest_selling_product", "most_frequent_customer", "most_common_payment_type")
+    wanted = [f for f in (goods, people, days, mood, top_payment) if set(f.columns) & set(columns) - {"store_id"}]
+    base = [] if goods in wanted else [lines.select("store_id").distinct()]
+    out = _side_by_side(base + wanted)
+    out = out.withColumns({
+        c: F.when(known, F.col(c)) for c in ("highest_selling_product", "most_frequent_customer", "most_common_payment_type") if c in out.columns
     })
-    return out.join(stores, "store_id", "left").select(*STORE_MART_COLUMNS)
+    return out.join(stores, "store_id", "left").select(*columns)

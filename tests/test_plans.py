@@ -77,3 +77,13 @@ def test_reports_write_nothing(spark, monkeypatch, key):
 
     monkeypatch.setattr("pos360.plans.catalog.write_and_read", refuse)
     run(key, Workspace(spark, SF_DIR))
+
+
+@pytest.mark.parametrize("key, scans", [("kpi_stores", 2), ("kpi_locations", 2), ("kpi_regions", 2), ("kpi_top_store", 2), ("new_customers_by_month", 4), ("kpi_retention_rate", 4)])
+def test_one_figure_reads_the_lines_as_the_cleaning_does(spark, no_aqe, inputs, key, scans):
+    """No aggregate of the mart is planned but the wanted ones: the cleaning's two scans of the lines for each, none
+    of the payments. Customers need sums and distinct counts: rows of '7' and '007' are one if all of these agree."""
+    nodes = _nodes(run(key, Workspace(spark, raw=inputs, params=FIXTURE_PARAMS)))
+    outputs = [json.dumps(n["output"]) for n in nodes if n["class"].endswith("FileSourceScanExec")]
+    lines = [o for o in outputs if "bill_date_timestamp" in o or '"customer_id"' in o]
+    assert len(lines) <= scans and not any("payment_type" in o for o in outputs)

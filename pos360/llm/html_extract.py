@@ -77,8 +77,9 @@ class Element:
 class Node:
     text: str
     element: int  # nearest block element
-    path: tuple[str, ...]
+    path: int  # number of its root-to-leaf tag path
     block: int
+    linked: bool  # inside a link
 
 
 @dataclass
@@ -116,19 +117,30 @@ def read_page(source: str) -> Page:
     """Text nodes outside the elements that are never article, with their block elements. Lenient
     like browsers: unknown end tags are skipped, open elements end with their parent."""
     page = Page([Element("#root", -1, 0, OPEN)])
+    # Paths are numbered in a trie, from (path, tag); open elements are found by tag, so that
+    # a page costs what its tokens cost, however deep it is nested and whatever ends in vain.
+    paths: dict[tuple[int, str], int] = {}
     # Open elements: tag, block element inside it, path, barred.
-    stack: list[tuple[str, int, tuple[str, ...], bool]] = [("#root", 0, (), False)]
+    stack: list[tuple[str, int, int, bool]] = [("#root", 0, 0, False)]
+    depths: dict[str, list[int]] = {}  # of the open elements of a tag
+    blocks, fences = [0], [0]  # depths of the open block elements, and of those in FENCE
     at, block = 0, 0
 
     def text(upto: int) -> None:
         tag, element, path, barred = stack[-1]
         if upto > at and not barred:
-            page.nodes.append(Node(html.unescape(source[at:upto]), element, path, block))
+            page.nodes.append(Node(html.unescape(source[at:upto]), element, path, block, bool(depths.get("a"))))
 
     def close(depth: int) -> None:
         nonlocal block
-        if any(tag not in INLINE for tag, *_ in stack[depth:]):
+        if blocks[-1] >= depth:
             block += 1
+        for tag, *_ in stack[depth:]:
+            depths[tag].pop()
+        while blocks[-1] >= depth:
+            blocks.pop()
+        while fences[-1] >= depth:
+            fences.pop()
         del stack[depth:]
 
     while found := _TOKEN.search(source, at):
@@ -139,16 +151,12 @@ def read_page(source: str) -> Page:
             continue
         tag, attributes, ends = tag.lower(), found[3] if found[2] else found[6], found[1] or found[4]
         if ends:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                if tag in INLINE and stack[i][0] not in INLINE:
-                    break
+            if (opened := depths.get(tag)) and (tag not in INLINE or opened[-1] > blocks[-1]):
+                close(opened[-1])
             continue
         if tag == "br":
             if not stack[-1][3]:
-                page.nodes.append(Node(" ", stack[-1][1], stack[-1][2], block))
+                page.nodes.append(Node(" ", stack[-1][1], stack[-1][2], block, False))
             continue
         if tag in VOID:
             block += tag == "hr"
@@ -156,19 +164,16 @@ def read_page(source: str) -> Page:
         if tag not in INLINE:
             # A paragraph ends where a block begins; list items and cells end where the next one begins.
             ending = CLOSES.get(tag, frozenset()) | CLOSES["p"]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ending:
-                    close(i)
-                    break
-                if stack[i][0] in FENCE and stack[i][0] not in ending:
-                    break
+            last = max((depths[t][-1] for t in ending if depths.get(t)), default=0)
+            if last and (last > fences[-1] or stack[fences[-1]][0] in ending):
+                close(last)
             block += 1
         _, element, path, barred = stack[-1]
         said = _says(tag, attributes)
         barred = barred or said == BARRED
         if tag not in INLINE:
             page.elements.append(Element(tag, element, len(stack), said))
-            element, path = len(page.elements) - 1, (*path, tag)
+            element, path = len(page.elements) - 1, paths.setdefault((path, tag), len(paths) + 1)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(source, at)
             if tag == "textarea" or tag not in NOT_ARTICLE:
@@ -179,13 +184,27 @@ def read_page(source: str) -> Page:
             block += 1
             continue
         if not attributes.endswith("/") or tag not in ("svg", "path"):
+            depths.setdefault(tag, []).append(len(stack))
+            if tag not in INLINE:
+                blocks.append(len(stack))
+                if tag in FENCE:
+                    fences.append(len(stack))
             stack.append((tag, element, path, barred))
     text(len(source))
     return page
 
 
+def link_paths(nodes: list[Node]) -> set[int]:
+    """Paths with more text inside links than outside: menus and lists of other pages."""
+    balance = defaultdict(int)
+    for n in nodes:
+        size = len(n.text.strip())
+        balance[n.path] += size if n.linked else -size
+    return {p for p, b in balance.items() if b > 0}
+
+
 def path_ratios(nodes: list[Node]) -> np.ndarray:
-    """Fused ratio of each node's path, smoothed along the page."""
+    """Fused ratio of each node's path, smoothed along the page; 0 on link paths, whatever stands beside them."""
     length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
     for n in nodes:
         body = n.text.strip()
@@ -194,13 +213,17 @@ def path_ratios(nodes: list[Node]) -> np.ndarray:
         count[n.path] += bool(body)
     fused = {p: (length[p] / c) * (1 + marks[p] / c) for p, c in count.items() if c}
     ratio = np.array([fused.get(n.path, 0.0) for n in nodes])
-    return np.convolve(np.pad(ratio, 1, mode="edge"), KERNEL, "valid") if len(ratio) else ratio
+    if not len(ratio):
+        return ratio
+    links = link_paths(nodes)
+    smooth = np.convolve(np.pad(ratio, 1, mode="edge"), KERNEL, "valid")
+    return np.where([n.path in links for n in nodes], 0.0, smooth)
 
 
 def weigh(page: Page, nodes: list[Node]) -> tuple[list[Node], list[int]]:
     """The nodes on paths above the cut, and the text of all nodes by element; `weight` becomes that of the former."""
     ratio = path_ratios(nodes)
-    content = [n for n, r in zip(nodes, ratio) if r >= CUT * ratio.std()]
+    content = [n for n, r in zip(nodes, ratio) if r >= CUT * ratio.std() and r > 0]
     text = [0] * len(page.elements)
     for e in page.elements:
         e.weight = 0.0
@@ -243,6 +266,10 @@ def main_text(source: str) -> str:
     page = read_page(source)
     nodes = [n for n in admitted(page) if n.text]
     solid = [n for n in nodes if n.text.strip()]
+    links = link_paths(solid)
+    if len(links) < len({n.path for n in solid}):  # a page of nothing but links is its links
+        solid = [n for n in solid if n.path not in links]
+        nodes = [n for n in nodes if n.path not in links]
     if not solid:
         return ""
     content, _ = weigh(page, solid)
@@ -264,6 +291,9 @@ def main_text(source: str) -> str:
     passed = {n.block for n in content}
     # Where no element but the page holds the content, what stands beside it belongs to it.
     beside = {e for n in content for e in (n.element, page.elements[n.element].parent)} if page.elements[root].tag in PAGE else set()
+    # An article or main with more than half of the content is all of it, but for a heading right before.
+    if any(e.tag in ("article", "main") and 2 * e.weight > page.elements[0].weight for e in page.elements):
+        passed, beside = {n.block for n in content if whole[n.element]}, set()
     keep, follows = [], False
     for n in reversed(nodes):
         e = page.elements[n.element]

@@ -1,5 +1,8 @@
 """Operator 2: pages whose article is known."""
 
+import time
+import tracemalloc
+
 import pytest
 
 from pos360.llm.html_extract import extract, main_text, path_ratios, read_page
@@ -79,11 +82,37 @@ def test_nested_cells_and_lists_are_blocks():
 
 def test_ratios_are_those_of_paths():
     nodes = [n for n in read_page("<div><p>aaaa, bbbb.</p><p>cc</p></div>").nodes if n.text.strip()]
-    assert [n.path for n in nodes] == [("div", "p")] * 2
+    assert nodes[0].path == nodes[1].path != read_page("<div><p>x</p></div>text").nodes[1].path
     fused = (11 + 2) / 2 * (1 + 2 / 2)  # text a node, times one and the marks a node
     assert path_ratios(nodes).tolist() == pytest.approx([fused] * 2)
 
 
+@pytest.mark.parametrize("page", [
+    "<body><div><p>{t}</p><p>{t}</p></div><div><a href=x>Link one</a> <a href=y>Link two</a></div></body>",
+    "<main><p>{t}</p><p>{t}</p><ul><li><a href=x>Top stories</a></li><li><a>Other</a></li></ul></main>",
+    "<article><p>{t}</p><p>{t}</p></article><section><p>Great post, thanks a lot for it.</p><p>I do not agree, really.</p></section>",
+])
+def test_links_and_comments_without_telling_names_go(page):
+    assert main_text(page.format(t=LONG)) == f"{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_a_page_of_links_is_its_links():
+    assert main_text("<ul><li><a href=x>one</a></li><li><a>two</a></li></ul>") == "one\ntwo"
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 200_000 + "text", "<div>" * 8000 + "</x>" * 100_000 + "text", "<x>" * 100_000 + "text",
+    "<p><b>" + "<i>" * 50_000 + "</u>" * 50_000 + "<div>text", "<li>" * 100_000 + "text",
+])
+def test_time_and_memory_follow_the_page_not_its_nesting(page):
+    tracemalloc.start()
+    began = time.monotonic()
+    assert main_text(page) == "text"
+    took, peak = time.monotonic() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert took < 60 and peak < 600 * len(page)
+
+
 def test_very_long_and_deep_pages():
     assert main_text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
     long = "word, " * 200_000

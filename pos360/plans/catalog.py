@@ -23,8 +23,8 @@ from pos360.plans.customer_mart import customer_behaviour, customer_level_360, c
 from pos360.plans.order_mart import best_payment, order_level_360, order_level_enriched
 from pos360.plans.store_mart import store_level_360, store_top_customer, store_top_payment, store_top_product
 from pos360.session import write_and_read
-from pos360.sources.fixtures import DATE_FORMATS, FIXTURE_PARAMS, Tables, fixture_tables, order_date_texts
-from pos360.sources.readers import audit_unparseable_dates
+from pos360.sources.fixtures import DATE_FORMATS, FIXTURE_PARAMS, Tables, fixture_tables, order_date_texts, order_value_texts
+from pos360.sources.readers import audit_unparseable_dates, audit_unparseable_values
 
 
 class Workspace:
@@ -139,6 +139,7 @@ _REGISTRY: dict[str, Query] = {
     "clean_drop_year": lambda w: w.orders_dropped,
     "audit_unparseable_dates": lambda w: audit_unparseable_dates(
         order_date_texts(w.raw.orders), "bill_date_text", DATE_FORMATS),
+    "audit_unparseable_values": lambda w: audit_unparseable_values(order_value_texts(w.raw.orders), "orders"),
     "audit_store_duplicates": lambda w: q.audit_store_duplicates(w.raw.stores),
     "clean_store_duplicates": lambda w: q.clean_store_duplicates(w.raw.stores),
     "audit_review_averages": lambda w: q.audit_review_averages(w.raw.reviews, w.raw.orders),

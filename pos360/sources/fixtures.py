@@ -172,6 +172,23 @@ def order_date_texts(orders: DataFrame) -> DataFrame:
     return orders.selectExpr("order_id", f"{_DATE_TEXT} AS bill_date_text")
 
 
+# Fixed values, the same expressions as in the oracle.
+_VALUE_TEXTS = (
+    "order_id", "customer_id", "product_id", "line_no", "channel", "delivered_store_id", "bill_date_timestamp",
+    "CASE WHEN line_no = 3 THEN concat(CAST(quantity AS STRING), ' pcs') WHEN line_no = 7 THEN '' ELSE CAST(quantity AS STRING) END AS quantity",
+    "CASE WHEN line_no = 4 THEN concat('USD ', CAST(mrp AS STRING)) ELSE CAST(mrp AS STRING) END AS mrp",
+    "CAST(cost_per_unit AS STRING) AS cost_per_unit",
+    "CASE WHEN line_no = 2 THEN 'n/a' ELSE CAST(discount AS STRING) END AS discount",
+    "CASE WHEN line_no = 5 THEN replace(CAST(total_amount AS STRING), '.', ',') ELSE CAST(total_amount AS STRING) END AS total_amount",
+)
+
+
+def order_value_texts(orders: DataFrame) -> DataFrame:
+    """Order lines with their numbers as text, as hand-kept files have them:
+    with units, currencies, decimal commas, blanks (FIXTURES.md §2)."""
+    return orders.selectExpr(*_VALUE_TEXTS)
+
+
 def write_inputs(tables: Tables) -> Tables:
     """The six input tables written once as Parquet (shared checkpoint
     folder) and read back, so that every later job scans stored tables, as

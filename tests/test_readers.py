@@ -75,3 +75,36 @@ def test_parameters_cannot_lose_data():
     assert (DEFAULT.drop_year, DEFAULT.rfm_as_of, DEFAULT.inactive_as_of) == (2020, dt.date(2023, 12, 31), None)
     with pytest.raises(ValueError):
         RunParams(rfm_tiles=5)
+
+
+BROKEN = """Customer_id,order_id,product_id,Channel,Delivered_StoreID,Bill_date_timestamp,Quantity,MRP,Cost Per Unit,Discount,Total Amount
+1,o1,p1,Online,s1,2021-01-05 10:00:00,2,10.5,7,0,21
+1,o2,p1,Online,s1,05/01/2021 11:30,x7,"1,200",7,,21
+2,o3,p2,Phone
+2,o4,p2,Phone,s2,31/02/2021 08:00,3,9,n/a,0,27
+3,o5,p2,Phone,s2,,,,,,,surplus
+"""
+
+
+def test_bad_values_and_lines_are_kept_in_quarantine(spark, tmp_path):
+    from pos360.sources.readers import audit_unparseable_values, read_table, read_table_quarantined
+
+    path = str(tmp_path / "orders.csv")
+    (tmp_path / "orders.csv").write_text(BROKEN)
+    formats = ["dd/MM/yyyy HH:mm"]
+    rows, bad = read_table_quarantined(spark, "orders", path, "csv", formats)
+    assert sorted((r.order_id, r.quantity, r.mrp) for r in rows.collect()) == [("o1", 2, 10.5), ("o2", None, None), ("o4", 3, 9)]
+    got = {r.order_id: (sorted(r.bad_columns), r.bad_line) for r in bad.collect()}
+    assert got["o2"] == (["mrp", "quantity"], None) and got["o4"] == (["bill_date_timestamp", "cost_per_unit"], None)
+    assert got["o3"] == ([], "2,o3,p2,Phone") and got["o5"][1].endswith("surplus") and len(got) == 4
+    assert bad.where("order_id = 'o2'").first()["Quantity"] == "x7"  # as it came
+    text = spark.read.options(header="true").csv(path)
+    counts = {r.column_name: (r.n_rows, r.n_blank, r.n_unparseable) for r in audit_unparseable_values(text, "orders", formats).collect()}
+    assert counts["quantity"] == (5, 2, 1) and counts["mrp"] == (5, 2, 1) and counts["bill_date_timestamp"] == (5, 2, 1)
+    assert "order_id" not in counts and counts["discount"] == (5, 3, 0)
+    # Typed input needs no cast: nothing to audit, nothing in quarantine.
+    typed = str(tmp_path / "typed")
+    rows.write.parquet(typed)
+    again, none = read_table_quarantined(spark, "orders", typed)
+    assert again.count() == 3 and none.count() == 0 and audit_unparseable_values(again, "orders").count() == 0
+    assert read_table(spark, "orders", typed).count() == 3

@@ -196,6 +196,7 @@ _REGISTRY: dict[str, Query] = {
     "new_customer_revenue_by_month": lambda w: trends.new_customer_revenue_by_month(w.order_mart, w.params),
     "category_month_trend": lambda w: trends.category_month_trend(w.order_mart),
     "region_trend": lambda w: trends.region_trend(w.order_mart),
+    "sales_by_dimension": lambda w: trends.sales_by_dimension(w.order_mart),
     "store_trend": lambda w: trends.store_trend(w.order_mart),
     "payment_trend": lambda w: trends.payment_trend(w.order_mart),
     "channel_trend": lambda w: trends.channel_trend(w.order_mart),

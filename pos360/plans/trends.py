@@ -93,6 +93,32 @@ def region_trend(om: DataFrame) -> DataFrame:
     )
 
 
+#: Dimensions of ``sales_by_dimension``: those of Q25-Q28, Q30, Q32 and Q33.
+DIMENSIONS = ("region", "store_id", "payment_type", "channel", "store_state", "gender")
+
+
+def sales_by_dimension(om: DataFrame) -> DataFrame:
+    """Q25-Q28, Q30, Q32, Q33 in one scan of the mart: per dimension and value,
+    lines, sales, quantity, profit and margin (amount less cost).
+
+    GROUPING SETS send each line once per dimension into a map-side aggregate;
+    what is shuffled is one row per task, dimension and value. A NULL value of
+    a dimension is told from one that is not grouped by ``grouping``."""
+    name = F.coalesce(*[F.when(F.grouping(d) == 0, F.lit(d)) for d in DIMENSIONS])
+    value = F.coalesce(*[F.when(F.grouping(d) == 0, F.col(d).cast("string")) for d in DIMENSIONS])
+    return (
+        om.select(*DIMENSIONS, "total_amount", "quantity", "profit", "total_cost")
+        .groupingSets([[d] for d in DIMENSIONS], *DIMENSIONS)
+        .agg(
+            name.alias("dimension"), value.alias("value"), F.count(F.lit(1)).alias("transactions"),
+            F.sum("total_amount").alias("total_sales"), F.sum("quantity").alias("total_quantity"),
+            F.sum("profit").alias("total_profit"), F.sum(F.col("total_amount") - F.col("total_cost")).alias("total_margin"),
+        )
+        .select("dimension", "value", "transactions", "total_sales", "total_quantity", "total_profit", "total_margin")
+        .orderBy("dimension", F.col("total_sales").desc_nulls_last(), F.col("value").asc_nulls_first())
+    )
+
+
 def store_trend(om: DataFrame) -> DataFrame:
     """Q26."""
     return _sales(om, "store_id")

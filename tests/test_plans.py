@@ -87,3 +87,13 @@ def test_one_figure_reads_the_lines_as_the_cleaning_does(spark, no_aqe, inputs,
     outputs = [json.dumps(n["output"]) for n in nodes if n["class"].endswith("FileSourceScanExec")]
     lines = [o for o in outputs if "bill_date_timestamp" in o or '"customer_id"' in o]
     assert len(lines) <= scans and not any("payment_type" in o for o in outputs)
+
+
+def test_all_dimensions_in_one_scan_of_the_mart(spark, no_aqe, tmp_path):
+    from pos360.plans.trends import sales_by_dimension
+
+    path = str(tmp_path / "om")
+    Workspace(spark, SF_DIR).order_mart.write.parquet(path)
+    nodes = _nodes(sales_by_dimension(spark.read.parquet(path)))
+    classes = [n["class"].rsplit(".", 1)[-1] for n in nodes]
+    assert classes.count("FileSourceScanExec") == 1 and classes.count("ExpandExec") == 1

@@ -1,13 +1,16 @@
 """Operator 7, quality rules with risk-controlled thresholds.
 
-Base counts come from every whole text. On top of two fixed base rules, each
-ratio of counts gets a cutoff per stratum (language), chosen on the labelled
-documents: walking from the mildest cutoff to stricter ones, a cutoff is
-certified while an exact binomial test rejects "it would remove more than the
-allowed share of good documents" at the corrected level, and the walk stops at
-the first that is not (fixed-sequence testing; Bonferroni over strata and
-rules). Among the certified cutoffs the one wins that removes most bad less
-good labelled documents, the mildest if several do."""
+Base counts come from every whole text. On top of two fixed base rules, ratios
+of counts get cutoffs per stratum (language), chosen on labelled documents in
+two halves. The choosing half gives a path of joint cutoffs: starting with none,
+each step makes one rule stricter, by the steps of all rules in descending share
+of bad among the documents that they remove, as far as this is over a half. The
+holdout half tests the path: step by step an exact binomial test must reject
+"the rules up to here remove more than the allowed share of good documents" at
+the corrected level, and the first step that it doesn't ends the path
+(fixed-sequence testing within a stratum, Bonferroni over the strata). So the
+risk is spent once, on all rules together, and no cutoff of a stratum counts
+more than its own holdout documents do."""
 
 from __future__ import annotations
 
@@ -22,10 +25,11 @@ from pyspark.sql import functions as F
 from pos360.llm.tables import pieces, read_table, written
 from pos360.llm.text_counts import counts
 
-RISK = 0.05  # share of a stratum's good documents that the cutoffs may remove in all
-ERROR = 0.05  # chance that any stratum or rule breaks its share
+RISK = 0.05  # share of a stratum's good documents that its cutoffs may remove in all
+ERROR = 0.05  # chance that any stratum breaks its share
 MIN_WORDS, MAX_REPEAT = 20, 30  # base rules: words at least, percent of repeated words at most
-LAST_BIN = 1000
+LAST_BIN = 1000  # of a share in thousandths: no share is larger
+LONGEST_WORD = 1 << 20  # code points: the mean word length has a bin of a twentieth of one up to here
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 COUNTED = (*BASE, "n_lines", "n_distinct_words", "n_capitals", "n_punctuation", "n_digits")
 
@@ -52,29 +56,46 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(t - top) for t in terms))
 
 
-def choose_cutoff(bins: np.ndarray, good: np.ndarray, bad: np.ndarray, risk: float, level: float) -> int | None:
-    """Cutoff among the bins of one stratum and rule (None: no cutoff is certified, nothing is removed).
+def rule_steps(bins: np.ndarray, good: np.ndarray, bad: np.ndarray) -> list[tuple[float, int]]:
+    """(share of bad, cutoff) of a rule's steps, from the mildest to the strictest that pays.
 
-    bins ascend; good and bad are the labelled documents in each."""
-    n = int(good.sum())
-    if n == 0 or len(bins) == 0:
-        return None
-    best, best_gain = None, 0
-    good_over = bad_over = 0
-    for i in range(len(bins) - 1, 0, -1):
-        good_over += int(good[i])
-        bad_over += int(bad[i])
-        # Beyond the allowed share no test can certify; this also bounds the tail's terms.
-        if good_over > risk * n or binomial_tail(good_over, n, risk) > level:
+    bins ascend; good and bad are the choosing half's documents in each. A step
+    ends where the share of bad among the documents it removes is largest (the
+    upper convex hull of bad over removed), so shares descend and are over a half."""
+    steps, upto = [], len(bins)
+    while upto > 1:
+        removed = np.cumsum((good + bad)[1:upto][::-1])
+        share = np.cumsum(bad[1:upto][::-1]) / np.maximum(removed, 1)
+        best = len(share) - 1 - int(np.argmax(share[::-1]))  # the longest of the best
+        if share[best] <= 0.5:
             break
-        if bad_over - good_over > best_gain:
-            best, best_gain = int(bins[i]) - 1, bad_over - good_over
-    return best
+        upto -= best + 1
+        steps.append((float(share[best]), int(bins[upto]) - 1))
+    return steps
+
+
+def joint_path(rule: np.ndarray, bins: np.ndarray, good: np.ndarray, bad: np.ndarray) -> list[tuple[int, int]]:
+    """(rule, cutoff) of the steps of all rules of a stratum, in the order in which they are to be tested."""
+    steps = []
+    for r in np.unique(rule):
+        mine = np.flatnonzero(rule == r)
+        mine = mine[np.argsort(bins[mine])]
+        steps += [(-share, int(r), -i, cutoff) for i, (share, cutoff) in enumerate(rule_steps(bins[mine], good[mine], bad[mine]))]
+    return [(r, cutoff) for _, r, _, cutoff in sorted(steps, key=lambda x: (x[0], x[1], -x[2]))]
+
+
+def certified(good_removed: np.ndarray, n_good: int, risk: float, level: float) -> int:
+    """How many steps of a path hold the risk: good_removed[i] holdout documents of n_good go by step i or earlier."""
+    for i, k in enumerate(good_removed.tolist()):
+        # Beyond the allowed share no test can certify; this also bounds the tail's terms.
+        if k > risk * n_good or binomial_tail(k, n_good, risk) > level:
+            return i
+    return len(good_removed)
 
 
 def _bin(numerator: str, denominator: str, scale: int) -> Column:
     numerator, denominator = F.expr(numerator), F.expr(denominator)
-    return F.when(denominator > 0, F.least(F.floor(numerator * scale / denominator), F.lit(LAST_BIN))).otherwise(0).cast("int")
+    return F.when(denominator > 0, F.least(F.floor(numerator * scale / denominator), F.lit(LAST_BIN if scale == LAST_BIN else scale * LONGEST_WORD))).otherwise(0).cast("int")
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -94,21 +115,36 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 
 def cutoffs(binned: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """stratum, rule, cutoff (null: none certified), from all labelled documents.
+    """stratum, steps (array of (rule, cutoff), the certified part of its path), from all labelled documents.
 
-    A document with several labels counts as good if any of them says so."""
+    A document with several labels counts as good if any of them says so; a hash
+    of its id says to which half it belongs. Only counts by bin and by step are
+    brought together for a stratum, both bounded by rules and bins."""
     good = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("quality") == 1).alias("good"))
-    held = binned.where(~F.col("base_failed")).join(good, "doc_id")
-    per_bin = held.select("stratum", "good", F.posexplode("bins").alias("rule", "bin")).groupBy("stratum", "rule", "bin").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
-    n_rules = len(RULES)
-    level = error / (n_rules * max(1, binned.select("stratum").distinct().count()))
+    known = binned.where(~F.col("base_failed")).join(good, "doc_id").withColumn("holdout", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)) == 0)
+    per_bin = known.where(~F.col("holdout")).select("stratum", "good", F.posexplode("bins").alias("rule", "bin")).groupBy("stratum", "rule", "bin").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    level = error / max(1, binned.select("stratum").distinct().count())
 
     def choose(t: pa.Table) -> pa.Table:
-        by = np.argsort(np.asarray(t["bin"]))
-        got = choose_cutoff(*[np.asarray(t[c])[by] for c in ("bin", "good", "bad")], risk / n_rules, level)
-        return pa.table({"stratum": t["stratum"][:1], "rule": t["rule"][:1], "cutoff": pa.array([got], pa.int32())})
+        path = joint_path(*[np.asarray(t[c]) for c in ("rule", "bin", "good", "bad")])
+        steps = pa.array([[{"rule": r, "cutoff": c} for r, c in path]], pa.list_(pa.struct([("rule", pa.int32()), ("cutoff", pa.int32())])))
+        return pa.table({"stratum": t["stratum"][:1], "steps": steps})
+
+    paths = written(per_bin.groupBy("stratum").applyInArrow(choose, "stratum string, steps array<struct<rule:int,cutoff:int>>"), "quality-paths")
+    # The first step that removes a holdout document, 0 for none.
+    first = F.array_position(F.transform("steps", lambda s: F.get("bins", s["rule"]) > s["cutoff"]), True)
+    removed = known.where(F.col("holdout") & F.col("good")).join(paths, "stratum").groupBy("stratum", first.alias("step")).agg(F.count(F.lit(1)).alias("n"))
+
+    def test(t: pa.Table) -> pa.Table:
+        step, n = np.asarray(t["step"]).astype(np.int64), np.asarray(t["n"])
+        by_step = np.bincount(step, n, int(step.max()) + 1).astype(np.int64)
+        return pa.table({"stratum": t["stratum"][:1], "last": pa.array([certified(np.cumsum(by_step[1:]), int(n.sum()), risk, level)], pa.int32()), "tested": pa.array([len(by_step) - 1], pa.int32()), "n_good": pa.array([int(n.sum())], pa.int64())})
 
-    return per_bin.groupBy("stratum", "rule").applyInArrow(choose, "stratum string, rule int, cutoff int")
+    held = removed.groupBy("stratum").applyInArrow(test, "stratum string, last int, tested int, n_good long")
+    # Steps behind the last that removes a holdout document at all remove as many: they stand or fall with it.
+    upto = F.when(F.col("last") < F.col("tested"), F.col("last")).otherwise(F.size("steps"))
+    fewest = math.log(level) / math.log1p(-risk)  # good documents from which on removing none of them is certified
+    return paths.join(held, "stratum").where(F.col("n_good") >= F.lit(fewest)).select("stratum", F.slice("steps", 1, upto).alias("steps"))
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
@@ -123,12 +159,12 @@ def judge_quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, error:
     failed_base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     counted = written(base_counts(docs), "quality-rules")
     binned = counted.withColumn("base_failed", failed_base).withColumn("bins", F.array(*[_bin(n, d, s) for _, n, d, s in RULES]))
-    per_stratum = cutoffs(binned, labels, risk, error).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    per_stratum = cutoffs(binned, labels, risk, error)
     names = F.array(*[F.lit(r[0]) for r in RULES])
-    over = F.filter(F.sequence(F.lit(0), F.lit(len(RULES) - 1)), lambda i: F.coalesce(F.get("bins", i) > F.col("cutoffs")[i], F.lit(False)))
+    over = F.array_sort(F.array_distinct(F.transform(F.filter("steps", lambda s: F.get("bins", s["rule"]) > s["cutoff"]), lambda s: s["rule"])))
     return (
         binned.join(per_stratum, "stratum", "left")
-        .withColumn("broken", F.when(F.col("cutoffs").isNull(), F.array().cast("array<int>")).otherwise(over))
+        .withColumn("broken", F.when(F.col("steps").isNull(), F.array().cast("array<int>")).otherwise(over))
         .select("doc_id", *BASE, "base_failed", (~F.col("base_failed") & (F.size("broken") == 0)).alias("kept"), F.transform("broken", lambda i: F.get(names, i)).alias("failed"))
     )
 

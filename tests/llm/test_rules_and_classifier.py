@@ -32,14 +32,74 @@ def test_binomial_tail_is_exact():
         assert math.isclose(quality_rules.binomial_tail(k, n, p), float(exact), rel_tol=1e-12)
 
 
-def test_cutoff_is_certified_and_mild():
-    bins = np.array([0, 10, 20, 30])
-    # Bin 20 and up hold no good document: the mildest cutoff that removes them all is 19.
-    assert quality_rules.choose_cutoff(bins, np.array([900, 100, 0, 0]), np.array([0, 0, 40, 40]), 0.01, 0.01) == 19
-    # Too few good documents certify nothing, whatever is bad.
-    assert quality_rules.choose_cutoff(bins, np.array([20, 5, 0, 0]), np.array([0, 0, 40, 40]), 0.01, 0.01) is None
-    # A cutoff that would cost more good than allowed is never taken.
-    assert quality_rules.choose_cutoff(bins, np.array([500, 0, 0, 500]), np.array([0, 0, 0, 400]), 0.01, 0.01) is None
+def test_steps_of_a_rule_descend_in_share():
+    bins, good, bad = np.array([0, 10, 20, 30, 40]), np.array([900, 100, 3, 0, 1]), np.array([0, 30, 40, 40, 9])
+    # From the top: 49 bad of 50 in the bins 30 and 40, then 40 of 43 in bin 20; bin 10 is mostly good.
+    assert quality_rules.rule_steps(bins, good, bad) == [(49 / 50, 29), (40 / 43, 19)]
+    assert quality_rules.rule_steps(bins, good, 0 * bad) == [] and quality_rules.rule_steps(bins[:1], bad[:1], good[:1]) == []
+    # Steps of several rules come by their share of bad.
+    path = quality_rules.joint_path(np.repeat([0, 3], [5, 2]), np.r_[bins, [0, 40]], np.r_[good, [900, 0]], np.r_[bad, [0, 7]])
+    assert path == [(3, 39), (0, 29), (0, 19)]
+
+
+def test_a_path_ends_where_the_risk_is_not_certified():
+    assert quality_rules.certified(np.array([0, 0, 2, 60]), 1000, 0.05, 0.01) == 3
+    assert quality_rules.certified(np.array([0, 0]), 50, 0.05, 0.0125) == 0  # too few good documents certify nothing
+    assert quality_rules.certified(np.array([0]), 86, 0.05, 0.0125) == 1
+    assert quality_rules.certified(np.array([5, 5]), 20, 0.05, 0.5) == 0
+
+
+def verdicts_by_force(counted, labels, risk=quality_rules.RISK, error=quality_rules.ERROR):
+    """{row: kept} from the counts, path and tests spelled out document by document."""
+    def bins(r):
+        out = []
+        for _, num, den, scale in quality_rules.RULES:
+            top = r["n_words"] - r["n_distinct_words"] if "-" in num else r[num]
+            out.append(min(top * scale // r[den], 1000 if scale == 1000 else 1 << 40) if r[den] else 0)
+        return out
+
+    rows_ = [(i, r["stratum"], r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"], bins(r), labels.get(i), r["half"]) for i, r in counted.items()]
+    strata = {s for _, s, *_ in rows_}
+    kept = {}
+    for s in strata:
+        mine = [x for x in rows_ if x[1] == s and not x[2] and x[4] is not None]
+        chosen, held = [x for x in mine if x[5] == 1], [x for x in mine if x[5] == 0 and x[4]]
+        cells = sorted({(k, b) for x in chosen for k, b in enumerate(x[3])})
+        path = quality_rules.joint_path(*[np.array(c) for c in zip(*[
+            (k, b, sum(x[3][k] == b and x[4] for x in chosen), sum(x[3][k] == b and not x[4] for x in chosen)) for k, b in cells])]) if cells else []
+        done = []
+        for step in range(1, len(path) + 1):
+            gone = sum(any(x[3][k] > c for k, c in path[:step]) for x in held)
+            if gone > risk * len(held) or quality_rules.binomial_tail(gone, len(held), risk) > error / len(strata):
+                break
+            done = path[:step]
+        for i, t, failed, b, *_ in rows_:
+            if t == s:
+                kept[i] = not failed and not any(b[k] > c for k, c in done)
+    return kept
+
+
+def test_verdicts_match_brute_force_and_differ_from_the_base_rules(spark):
+    docs, labels = read_table(spark, SF, "documents"), read_table(spark, SF, "labels")
+    half = quality_rules.F.pmod(quality_rules.F.xxhash64("doc_id", quality_rules.F.lit(7)), quality_rules.F.lit(2)).cast("int").alias("half")
+    counted = {r["doc_id"]: r.asDict() for r in quality_rules.base_counts(docs).select("*", half).collect()}
+    known = {r.doc_id: r.quality == 1 for r in labels.collect() if r.quality is not None}
+    out = quality_rules.judge_quality(docs, labels).collect()
+    assert {r.doc_id: r.kept for r in out} == verdicts_by_force(counted, known)
+    removed = [r for r in out if not r.base_failed and not r.kept]
+    assert removed and sum(known.get(r.doc_id, False) for r in removed) <= 0.05 * sum(known.values())
+
+
+def test_risk_holds_in_most_draws():
+    """Of many draws of labels, a tested path breaks the risk in no more than the error's share."""
+    rng, broken = np.random.default_rng(5), 0
+    truth = np.array([0.0, 0.02, 0.045, 0.06, 0.09])  # share of good documents that the steps remove
+    for _ in range(2000):
+        at = np.searchsorted(truth, rng.random(300), "left")  # a document goes by the first step that reaches it
+        removed = np.array([(at <= i).sum() if i else 0 for i in range(len(truth))])
+        last = quality_rules.certified(removed, 300, 0.05, 0.05)
+        broken += last > 0 and truth[last - 1] > 0.05
+    assert broken <= 0.06 * 2000
 
 
 def test_cutoffs_hold_their_risk(spark):

@@ -1,6 +1,6 @@
 """Operator 9, sharding: a uniform shuffle into shards of exact sizes.
 
-Blocks of consecutive input rows are the source side. A communication matrix
+Blocks of input rows, dealt by a hash of their number, are the source side. A communication matrix
 says how many rows of each block go to each shard; its rows are drawn one
 after the other from the multivariate hypergeometric law, by recursive halving
 of the shards, which is the law that a uniform permutation of all rows would
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from pos360.llm.tables import read_table, written
 
-BLOCK_BITS = 16  # rows of a block: 65,536 at most
+BLOCK_ROWS = 1 << 16  # rows aimed at in each block
+MOST_BLOCKS = 10_000  # the driver draws a row of the matrix for each; larger tables have larger blocks
 BUCKET_ROWS = 50_000  # rows aimed at in each sorted bucket of a shard
 SHARDS = 16
 
@@ -73,13 +74,12 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = 20_000) -> Dat
 
     Defined cases: null texts count as empty (size 1, CRC 0), null and repeated
     ids and equal rows are rows like any other, an empty table gives none, other
-    columns of the input are ignored. The blocks are bounded by construction
-    (rows counted within an input partition), so no key of the data decides how
-    much a task gets. The narrow rows are written once with their random keys:
+    columns of the input are ignored. A row's block follows from its number in
+    the input, so no key of the data decides how much a task gets. The narrow rows are written once with their random keys:
     a lost executor reads the same rows and keys again.
 
-    The driver holds the matrix: blocks x shards small numbers, one block per
-    65,536 rows."""
+    The driver holds the matrix: blocks x shards small numbers, MOST_BLOCKS
+    blocks at most."""
     if shards < 1:
         raise ValueError("shards must be at least 1")
     spark = docs.sparkSession
@@ -91,9 +91,11 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = 20_000) -> Dat
             (F.octet_length(text) + 1).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             number.alias("row"),
-        ).select("*", F.shiftright("row", BLOCK_BITS).alias("block"), F.xxhash64("row", F.lit(seed)).alias("first_key"), F.xxhash64(F.lit(seed + 1), "row").alias("second_key")),
+        ).select("*", F.xxhash64("row", F.lit(seed)).alias("first_key"), F.xxhash64(F.lit(seed + 1), "row").alias("second_key")),
         "sharding",
     )
+    n_blocks = min(MOST_BLOCKS, max(1, -(-narrow.count() // BLOCK_ROWS)))
+    narrow = narrow.withColumn("block", F.pmod(F.xxhash64("row", F.lit(seed + 2)), F.lit(n_blocks)))
     blocks = [(r["block"], r["n"]) for r in narrow.groupBy("block").agg(F.count(F.lit(1)).alias("n")).orderBy("block").collect()]
     drawn = communication_matrix([n for _, n in blocks], shards, seed)
     cuts = [(b, np.cumsum(row).tolist()) for (b, _), row in zip(blocks, drawn)]

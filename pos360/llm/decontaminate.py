@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pos360.llm import textarrays as ta
-from pos360.llm.tables import pieces, read_table, written
+from pos360.llm.tables import packed, pieces, read_table, written
 
 WINDOW_WORDS = 13
-SLICE_BYTES = 32 << 20  # of benchmark text in a task at a time
+SLICE_BYTES = 3 << 20  # of benchmark text in a task at a time; its index takes some 18 times as much
 _MATCH = "array<struct<item_id:string,item_start:long,doc_start:long,length:long>>"
 
 
@@ -191,7 +191,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WO
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    return contamination(docs, benchmark, window).where(~F.col("#contaminated")).select([F.col(f"`{c}`") for c in docs.columns])
+    return contamination(packed(docs), benchmark, window).where(~F.col("#contaminated")).select("row.*")
 
 
 def op8_suffix_array_decontamination(spark, sf_dir: str) -> DataFrame:

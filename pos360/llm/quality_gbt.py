@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pos360.llm.tables import pieces, read_table
+from pos360.llm.tables import packed, pieces, read_table
 from pos360.llm.text_counts import counts
 
 SAMPLE = 20_000
@@ -194,8 +194,7 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents that are predicted good, with their own columns."""
-    kept = score(docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))), train(docs, labels, sample), "#score").where(F.col("#score") >= KEEP_FROM)
-    return kept.select([F.col(f"`{c}`") for c in docs.columns])
+    return score(packed(docs), train(docs, labels, sample)).where(F.col("score") >= KEEP_FROM).select("row.*")
 
 
 def op3_boosted_tree_quality(spark, sf_dir: str) -> DataFrame:

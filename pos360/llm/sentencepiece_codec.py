@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pos360.llm import textarrays as ta
-from pos360.llm.tables import pieces, read_table
+from pos360.llm.tables import packed, pieces, read_table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
@@ -325,12 +325,19 @@ class PieceModel:
             cache.update(zip(part, self.encode_segments(part)))
         return b"".join([cache[s] for s in segments])
 
-    def _segments(self, text: bytes) -> Iterator[bytes]:
-        for m in self.segment.finditer((b" " if self.dummy_prefix else b"") + text.replace(MARK, b" ")):
-            if m.end() - m.start() <= LONG_BYTES:
-                yield m[0]
+    def _segments(self, text: bytes) -> Iterator[list[bytes]]:
+        """The text's segments, in lists of about CHUNK_BYTES at most."""
+        text = (b" " if self.dummy_prefix else b"") + text.replace(MARK, b" ")
+        found = [self.segment.findall(text)] if len(text) <= CHUNK_BYTES else ([m[0]] for m in self.segment.finditer(text))
+        for some in found:
+            if max(map(len, some), default=0) <= LONG_BYTES:
+                yield some
             else:
-                yield from self.cut(m[0])
+                for s in some:
+                    if len(s) <= LONG_BYTES:
+                        yield [s]
+                    else:
+                        yield from ([x] for x in self.cut(s))
 
     def encode(self, texts: list[bytes], cache: dict[bytes, bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(piece ids of all texts, offsets). Segments are looked up in, and added to, the cache.
@@ -355,9 +362,9 @@ class PieceModel:
         for t, text in enumerate(texts):
             before = len(todo)
             if text:
-                for s in self._segments(text):
-                    todo.append(s)
-                    size += len(s)
+                for some in self._segments(text):
+                    todo += some
+                    size += len(text) if len(some) > 1 else sum(map(len, some))
                     if size >= CHUNK_BYTES:
                         ends.append((t, len(todo) - before))
                         flush()
@@ -399,18 +406,19 @@ def encode_texts(docs: DataFrame, model: str = MODEL) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(read_model(model))
     docs = docs.drop("n_tokens", "ids", "round_trip")
-    rows = docs.select("*", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("#bytes"))
+    rows = packed(docs).select("row", F.col("text").cast("binary").alias("bytes"))
+    names = docs.columns
     schema = T.StructType(list(docs.schema)).add("n_tokens", "long").add("ids", T.ArrayType(T.IntegerType())).add("round_trip", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]):
         coder, cache = shared.value, {}
-        for b in pieces(batches, "#bytes"):
-            texts = b["#bytes"].to_pylist()
+        for b in pieces(batches, "bytes"):
+            texts = b["bytes"].to_pylist()
             ids, at = coder.encode(texts, cache)
             same = [x == y for x, y in zip(coder.decode(ids, at), texts)]
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))
-            own = [c for c in b.schema.names if c != "#bytes"]
-            yield pa.RecordBatch.from_arrays([*(b[c] for c in own), pa.array(np.diff(at), pa.int64()), lists, pa.array(same, pa.bool_())], [*own, "n_tokens", "ids", "round_trip"])
+            own = b["row"].flatten()
+            yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(at), pa.int64()), lists, pa.array(same, pa.bool_())], [*names, "n_tokens", "ids", "round_trip"])
 
     return rows.mapInArrow(run, schema)
 

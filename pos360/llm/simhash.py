@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pos360.llm import textarrays as ta
-from pos360.llm.tables import pieces, read_table, written
+from pos360.llm.tables import packed, partitions, pieces, read_table, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -135,7 +135,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     posting = F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m).cast("long")) for m in signed]))
     lists = (
-        prints.select("fingerprint", posting.alias("positions", "bytes"))
+        prints.select("fingerprint").repartition(partitions(prints.sparkSession)).select("fingerprint", posting.alias("positions", "bytes"))
         .groupBy("positions", "bytes")
         .agg(F.collect_list("fingerprint").alias("prints"))
         .where(F.size("prints") > 1)
@@ -213,12 +213,12 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, max_bits: int = MAX_BIT
     if counted["rows"] == counted["ids"]:
         gone = groups(prints, max_bits).where("component_id <> doc_id").select(F.col("doc_id").alias("#gone"))
         return docs.join(gone, docs["doc_id"].cast("long") == gone["#gone"], "left_anti")
-    numbered = written(with_fingerprint(docs.withColumn("#row", F.monotonically_increasing_id()), k, "#fingerprint"), "simhash-docs")
+    numbered = written(with_fingerprint(packed(docs).withColumn("number", F.monotonically_increasing_id()), k).drop("text"), "simhash-docs")
     # Groups are numbered by their smallest row here: it is never null and never shared.
-    rows = numbered.select(F.col("#row").alias("doc_id"), F.col("doc_id").cast("long").alias("id"), F.col("#fingerprint").alias("fingerprint"))
+    rows = numbered.select(F.col("number").alias("doc_id"), F.col("row.doc_id").cast("long").alias("id"), "fingerprint")
     first = Window.partitionBy("component_id").orderBy(F.col("id").asc_nulls_last(), "doc_id")
-    keep = groups(rows, max_bits).withColumn("rank", F.row_number().over(first)).where("rank = 1").select(F.col("doc_id").alias("#row"))
-    return numbered.join(keep, "#row", "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
+    keep = groups(rows, max_bits).withColumn("rank", F.row_number().over(first)).where("rank = 1").select(F.col("doc_id").alias("number"))
+    return numbered.join(keep, "number", "left_semi").select("row.*")
 
 
 def op4_simhash_byte_index(spark, sf_dir: str) -> DataFrame:

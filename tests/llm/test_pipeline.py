@@ -67,3 +67,25 @@ def test_empty_documents(spark):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+AWKWARD = "doc_id long, text string, lang string, source string, n_chars long, `row` string, `number` long, `#row` long, `#hit` string, `#n_words` int, `score` double, `fingerprint` long, `bytes` string"
+
+
+def test_nulls_repeats_and_clashing_names(spark):
+    """Null ids and texts, equal rows, an odd long text and columns named like the stages' own: rows come out with their own columns."""
+    long = "語" * 3000 + " ".join(f"w{i}" for i in range(5000))
+    texts = [None, None, "", "the quick brown fox jumps over the lazy dog", "the quick brown fox jumps over the lazy dog", long]
+    rows = [(i if n % 2 else None, t, None, None, None, "r", 7, 8, "h", 9, 0.5, 1, "b") for n, (i, t) in enumerate(zip([1, 1, 2, 3, 3, 4], texts))]
+    docs = spark.createDataFrame(rows, AWKWARD)
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+        got = out.collect()
+        assert all((r["row"], r["number"], r["#row"], r["#hit"], r["#n_words"], r["score"], r["fingerprint"], r["bytes"]) == ("r", 7, 8, "h", 9, 0.5, 1, "b") for r in got), name
+        if name in ("substring_dedup", "decontamination", "encoding"):
+            assert len(got) == len(rows), name
+        if name == "near_dedup":  # the three empty texts are one group, the two equal ones another
+            assert len(got) == 3
+        if name in ("quality", "near_dedup", "decontamination", "encoding"):
+            assert {r.text for r in got} <= set(texts), name
